@@ -1 +1 @@
-from reelstats.operators import explore, prepare, profile  # noqa: F401
+from reelstats.operators import explore, prepare, profile, serving  # noqa: F401

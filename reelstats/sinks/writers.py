@@ -63,7 +63,7 @@ def as_rating_documents(df: DataFrame) -> DataFrame:
     date parts are plain integers (missing ones become 0)."""
     out = df
     if "rating_date" in df.columns:
-        out = out.withColumn("rating_date", F.col("rating_date").cast("timestamp"))
+        out = out.withColumn("rating_date", F.col("rating_date").cast("timestamp_ntz"))
     for c in ("rating_year", "rating_month", "rating_day"):
         if c in df.columns:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("int"))
