@@ -1 +1,121 @@
-"""stream queries."""
+"""Streaming queries over the `events` table read as a file stream.
+
+Each runs with an `availableNow` trigger to completion, writes into a fresh
+folder under the shared root (checkpoint included), and returns the written
+output read back as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from reelstats.plans import inputs
+from reelstats.plans.oracle import DECODED_CTE, with_fixtures
+from reelstats.plans.recommend_plans import SPLIT, model_for
+from reelstats.plans.prepare_plans import MIN_MOVIE, MIN_USER
+from reelstats.plans.oracle import enriched_ctes
+from reelstats.plans.registry import register
+from reelstats.session import scratch_path
+from reelstats.sinks import writers
+from reelstats.sources import fixtures
+from reelstats.streaming import decode, runner
+from reelstats.streaming.recommend import parquet_batch_writer, recommendation_batch_handler
+
+STREAM_K = 5
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _decoded_stream(spark, sf_dir, max_files_per_trigger: int = 1):
+    messages = fixtures.rating_messages(spark, sf_dir, fixtures.events_stream(spark, sf_dir,
+                                                                              max_files_per_trigger))
+    return decode.decode_json(messages, keep=("event_id",)).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz")
+    )
+
+
+@register(
+    "stream_decode_events",
+    with_fixtures("SELECT * FROM decoded", decoded=True),
+)
+def stream_decode_events(spark, sf_dir):
+    """Rating messages decoded on the stream (malformed ones become NULL rows)."""
+    out = scratch_path(spark, "decoded")
+    q = runner.start_sink(_decoded_stream(spark, sf_dir), "parquet", checkpoint=f"{out}/_ckpt",
+                          path=f"{out}/data", trigger=AVAILABLE_NOW)
+    runner.drain(q)
+    return spark.read.parquet(f"{out}/data")
+
+
+@register(
+    "stream_recommendations",
+    with_fixtures(
+        f"{enriched_ctes(MIN_MOVIE, MIN_USER)}, {SPLIT}, {DECODED_CTE} "
+        f"SELECT DISTINCT userId, LEAST({STREAM_K}, (SELECT COUNT(DISTINCT movieId) FROM tr)) AS n_recs, "
+        "CAST(1 AS BIGINT) AS n_batches FROM decoded WHERE userId IN (SELECT userId FROM tr)"
+    ),
+    check="inv",
+)
+def stream_recommendations(spark, sf_dir):
+    """Per micro-batch: top-5 for each distinct known user, written per batch id."""
+    out = scratch_path(spark, "recs")
+    handler = recommendation_batch_handler(model_for(spark, sf_dir), parquet_batch_writer(f"{out}/data"),
+                                           STREAM_K)
+    q = runner.start_foreach_batch(_decoded_stream(spark, sf_dir), handler, f"{out}/_ckpt",
+                                   trigger=AVAILABLE_NOW)
+    runner.drain(q)
+    recs = spark.read.parquet(f"{out}/data")
+    return recs.groupBy("userId").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.count_distinct("batch_id").alias("n_batches")
+    )
+
+
+@register(
+    "stream_text_passthrough",
+    with_fixtures("SELECT CAST(event_id AS VARCHAR) AS key, props AS value FROM events"),
+)
+def stream_text_passthrough(spark, sf_dir):
+    """Binary key/value messages cast to text on the stream."""
+    raw = fixtures.events_stream(spark, sf_dir).select(
+        F.encode(F.col("event_id").cast("string"), "UTF-8").alias("key"),
+        F.encode(F.col("props"), "UTF-8").alias("value"),
+    )
+    out = scratch_path(spark, "text")
+    q = runner.start_sink(decode.decode_key_value(raw), "parquet", checkpoint=f"{out}/_ckpt",
+                          path=f"{out}/data", trigger=AVAILABLE_NOW)
+    runner.drain(q)
+    return spark.read.parquet(f"{out}/data")
+
+
+@register(
+    "stream_progress",
+    with_fixtures("SELECT COUNT(*) AS total_input_rows FROM events"),
+    check="inv",
+)
+def stream_progress(spark, sf_dir):
+    """Sum of input rows over the progress reports of a drained stream."""
+    out = scratch_path(spark, "progress")
+    q = runner.start_sink(_decoded_stream(spark, sf_dir), "parquet", checkpoint=f"{out}/_ckpt",
+                          path=f"{out}/data", trigger=AVAILABLE_NOW)
+    runner.drain(q)
+    return runner.progress_frame(spark, q).agg(
+        F.coalesce(F.sum("numInputRows"), F.lit(0)).cast("long").alias("total_input_rows")
+    )
+
+
+@register(
+    "publish_json_messages",
+    with_fixtures(
+        "SELECT userId, movieId, CAST(rating AS FLOAT) AS rating, "
+        "date_trunc('second', timestamp) AS timestamp FROM ratings"
+    ),
+)
+def publish_json_messages(spark, sf_dir):
+    """Ratings published as JSON messages (time as epoch seconds), read back and decoded."""
+    ratings = inputs.ratings(spark, sf_dir)
+    messages = writers.to_messages(
+        ratings.withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp"))),
+        ["userId", "movieId", "rating", "timestamp"],
+    )
+    path = writers.publish_messages(messages, scratch_path(spark, "messages"))
+    decoded = decode.decode_json(spark.read.text(path))
+    return decoded.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
