@@ -10,6 +10,7 @@ from reelstats.functions.columns import (  # noqa: F401
     genre_display,
     is_missing,
     json_value,
+    present,
     rating_bin,
     round_half_up,
     title_year,

@@ -74,6 +74,17 @@ def is_missing(field: T.StructField) -> Column:
     return c.isNull()
 
 
+def present(fields: list[T.StructField]) -> Column:
+    """No NULL (nor NaN in floating columns) in any of `fields`: the condition of
+    `na.drop("any")`, written as plain predicates so the optimizer can reason about
+    them (inferred IS NOT NULL filters become redundant, and equal subplans stay
+    equal, so their shuffles are reused)."""
+    cond = F.lit(True)
+    for f in fields:
+        cond = cond & ~is_missing(f)
+    return cond
+
+
 def json_value(*cols: str) -> Column:
     """One JSON document per row, as a message value."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstats.functions.columns import date_parts, genre_count, title_year
+from reelstats.functions.columns import date_parts, genre_count, present, title_year
 from reelstats.schemas import ENRICHED_COLUMNS
 
 DEFAULT_MIN_MOVIE_RATINGS = 10
@@ -27,6 +27,11 @@ def with_title_year(movies: DataFrame) -> DataFrame:
     return movies.withColumn("year", title_year("title"))
 
 
+def drop_missing(df: DataFrame) -> DataFrame:
+    """Rows without NULL (or NaN in floating columns), same rows as `na.drop("any")`."""
+    return df.where(present(df.schema.fields))
+
+
 def dedup_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest `order` tuple wins (a stated survivor).
 
@@ -55,7 +60,7 @@ def clean_movies(movies: DataFrame, require_year: bool = True) -> DataFrame:
     Survivor of duplicated ids: smallest title, then genres.
     """
     df = with_title_year(movies) if require_year and "year" not in movies.columns else movies
-    df = df.na.drop(how="any")
+    df = drop_missing(df)
     return dedup_smallest(df, ["movieId"], ["title", "genres"])
 
 
@@ -66,7 +71,7 @@ def clean_ratings(ratings: DataFrame, low: float = RATING_LOW, high: float = RAT
     after the dedup, as in the reference, so an out-of-range latest rating
     removes the pair.
     """
-    df = ratings.na.drop(how="any")
+    df = drop_missing(ratings)
     df = dedup_latest(df, ["userId", "movieId"], ["timestamp", "rating"])
     return df.where(F.col("rating").between(low, high))
 
@@ -134,7 +139,7 @@ def enriched_ratings(
     aggregate joined once; the two movie-keyed results are joined to each
     other first (both one row per movie) so the large side meets one join per key.
     """
-    clean = rating_date_parts(clean_ratings(ratings))
+    clean = clean_ratings(ratings)
 
     users = user_rating_stats(clean).where(F.col("user_rating_count") >= min_user_ratings)
     active = clean.join(users, "userId", "inner")
@@ -147,7 +152,8 @@ def enriched_ratings(
 
     per_movie = movie_stats(active).join(kept_movies, "movieId", "left")
 
-    return active.join(per_movie, "movieId", "left").select(
+    # date parts are derived after the joins so the shuffles carry 4 columns less
+    return rating_date_parts(active.join(per_movie, "movieId", "left")).select(
         *[
             F.col("user_rating_count").alias("user_total_ratings")
             if c == "user_total_ratings"

@@ -48,7 +48,10 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return line.join(orders, line["l_orderkey"] == orders["o_orderkey"]).select(
+    # Two fact-sized tables: a shuffle (sort-merge) join on the order key, which is
+    # what the planner picks at scale; it also spreads a single-file table's rows
+    # over all cores instead of joining them in the scan task.
+    return line.join(orders.hint("merge"), line["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
         F.expr(RATING_SQL).alias("rating"),
