@@ -6,8 +6,6 @@ Each writer runs on the cluster into a fresh folder under the shared root
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from reelstats.operators import profile, serving
 from reelstats.plans import inputs
 from reelstats.plans.oracle import enriched_ctes, with_fixtures
@@ -113,10 +111,3 @@ def ratings_sample_capped(spark, sf_dir):
     """Row count of the capped sample: min(rows, cap)."""
     return profile.row_count(files.sample_capped(inputs.ratings(spark, sf_dir), REFERENCE_SAMPLE_CAP))
 
-
-def read_rating_partition(spark, path: str, year: int, month: int):
-    """One year/month of a partitioned enriched table (pruned to that folder)."""
-    return spark.read.parquet(path).where(
-        (F.col("rating_year") == year) & (F.col("rating_month") == month)
-    )
-

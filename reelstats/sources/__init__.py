@@ -5,6 +5,7 @@ from reelstats.sources.files import (  # noqa: F401
     find_in,
     read_csv,
     read_documents,
+    read_partitions,
     register_view,
     safe_load,
     sample_capped,

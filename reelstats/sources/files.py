@@ -55,6 +55,15 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.format(fmt).options(**(options or {})).schema(schema).load(path)
 
 
+def read_partitions(spark: SparkSession, path: str, **equals: Any) -> DataFrame:
+    """Read a partitioned Parquet table restricted to partition values (e.g.
+    rating_year=1996, rating_month=5); only the matching folders are listed and read."""
+    df = spark.read.parquet(path)
+    for name, value in equals.items():
+        df = df.where(F.col(name) == value)
+    return df
+
+
 def find(collection: DataFrame, predicate: Column) -> DataFrame:
     """Collection scan with a predicate that the source can push down."""
     return collection.where(predicate)
