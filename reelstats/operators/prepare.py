@@ -139,7 +139,12 @@ def enriched_ratings(
     aggregate joined once; the two movie-keyed results are joined to each
     other first (both one row per movie) so the large side meets one join per key.
     """
-    clean = clean_ratings(ratings)
+    # The deduplicated pairs feed five consumers. Shuffle files are what Spark
+    # shares between them, so without an exchange here each consumer would
+    # re-sort and re-aggregate the dedup output. A rebalance on the pair key is
+    # kept by the optimizer (a plain repartition on the same key is removed as
+    # redundant); the key is unique after the dedup, so it cannot skew.
+    clean = clean_ratings(ratings).hint("rebalance", "userId", "movieId")
 
     users = user_rating_stats(clean).where(F.col("user_rating_count") >= min_user_ratings)
     active = clean.join(users, "userId", "inner")
