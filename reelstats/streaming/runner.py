@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,5 +72,22 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+def poll_progress(query: StreamingQuery, interval_s: float = 5.0,
+                  on_progress: Callable[[dict], None] = print, max_polls: int | None = None) -> int:
+    """Driver-side monitor: while the query runs, report its latest progress
+    (batch id, input rows, processed rows per second) every `interval_s`.
+    Returns the number of reports made."""
+    polls = reports = 0
+    while query.isActive and (max_polls is None or polls < max_polls):
+        p = query.lastProgress
+        if p:
+            on_progress({"batchId": p.get("batchId"), "numInputRows": p.get("numInputRows"),
+                         "processedRowsPerSecond": p.get("processedRowsPerSecond")})
+            reports += 1
+        polls += 1
+        time.sleep(interval_s)
+    return reports
+
+
 def _num(v):
     return None if v is None else float(v)

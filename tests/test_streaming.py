@@ -140,3 +140,17 @@ def test_key_value_decode_and_kafka_options(spark):
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "1000",
     }
+
+
+def test_poll_progress_reports_while_running(spark):
+    out = _tmp()
+    q = runner.start_sink(_decoded_stream(spark), "parquet", checkpoint=f"{out}/ckpt", path=f"{out}/data",
+                          trigger={"processingTime": "200 milliseconds"})
+    try:
+        q.processAllAvailable()
+        seen = []
+        assert runner.poll_progress(q, 0.05, seen.append, max_polls=3) >= 1
+        assert {"batchId", "numInputRows", "processedRowsPerSecond"} <= set(seen[0])
+    finally:
+        runner.stop(q)
+    assert not q.isActive
