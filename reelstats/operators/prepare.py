@@ -2,11 +2,10 @@
 
 Plan shape, chosen for skew: every per-key statistic is a hash aggregate with a
 map-side partial step, so a hot user or movie is pre-aggregated before its
-shuffle; the statistics are then joined back by key. The join side is one row
-per key: AQE turns it into a broadcast when the measured stage is small and
-otherwise splits the hot key's partition of the large side (skew join). No
-window is partitioned by user or movie, which would put a hot key's rows in a
-single task.
+shuffle; the statistics are then joined back by key with `salted_join`, which
+splits a key holding more than `hot_rows` ratings over several tasks (the
+statistics carry the exact row count per key). No window is partitioned by
+user or movie, which would put a hot key's rows in a single task.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.functions.columns import date_parts, genre_count, present, title_year
+from reelstats.operators.joins import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, salted_join
 from reelstats.schemas import ENRICHED_COLUMNS
 
 DEFAULT_MIN_MOVIE_RATINGS = 10
@@ -103,12 +103,14 @@ def user_rating_stats(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_active_users(ratings: DataFrame, min_ratings: int = DEFAULT_MIN_USER_RATINGS,
-                         keep_user_avg: bool = False) -> DataFrame:
+                         keep_user_avg: bool = False, hot_rows: int = DEFAULT_HOT_ROWS,
+                         max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Ratings of users with at least `min_ratings` ratings, with `user_rating_count`."""
     stats = user_rating_stats(ratings).where(F.col("user_rating_count") >= min_ratings)
     if not keep_user_avg:
         stats = stats.drop("user_avg_rating")
-    return ratings.join(stats, "userId", "inner")
+    return salted_join(ratings, stats, "userId", "inner", count_col="user_rating_count",
+                       hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["movieId"])
 
 
 def movie_stats(ratings: DataFrame) -> DataFrame:
@@ -129,6 +131,8 @@ def enriched_ratings(
     min_movie_ratings: int = DEFAULT_MIN_MOVIE_RATINGS,
     min_user_ratings: int = DEFAULT_MIN_USER_RATINGS,
     require_year: bool = True,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """Clean ratings of active users with movie attributes and per-key statistics.
 
@@ -138,6 +142,8 @@ def enriched_ratings(
     equals `user_rating_count` by construction, so user statistics are one
     aggregate joined once; the two movie-keyed results are joined to each
     other first (both one row per movie) so the large side meets one join per key.
+    Both joins with the large side split users or movies with more than
+    `hot_rows` ratings (see `joins.salted_join`).
     """
     # The deduplicated pairs feed five consumers. Shuffle files are what Spark
     # shares between them, so without an exchange here each consumer would
@@ -147,7 +153,8 @@ def enriched_ratings(
     clean = clean_ratings(ratings).hint("rebalance", "userId", "movieId")
 
     users = user_rating_stats(clean).where(F.col("user_rating_count") >= min_user_ratings)
-    active = clean.join(users, "userId", "inner")
+    active = salted_join(clean, users, "userId", "inner", count_col="user_rating_count",
+                         hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["movieId"])
 
     kept_movies = movies_min_support(
         movie_features(clean_movies(movies, require_year=require_year)),
@@ -158,7 +165,9 @@ def enriched_ratings(
     per_movie = movie_stats(active).join(kept_movies, "movieId", "left")
 
     # date parts are derived after the joins so the shuffles carry 4 columns less
-    return rating_date_parts(active.join(per_movie, "movieId", "left")).select(
+    joined = salted_join(active, per_movie, "movieId", "left", count_col="num_ratings",
+                         hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["userId"])
+    return rating_date_parts(joined).select(
         *[
             F.col("user_rating_count").alias("user_total_ratings")
             if c == "user_total_ratings"

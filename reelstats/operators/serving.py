@@ -3,7 +3,9 @@
 Top-k per user is `row_number() <= k` over a window keyed by user: Catalyst
 adds a partial group limit before the shuffle (WindowGroupLimit), so each map
 task forwards at most k rows per user and a very active user does not build
-an unbounded group in one task.
+an unbounded group in one task. Look-ups of the movie catalogue split hot
+movies with `joins.salted_join` when the catalogue carries its per-movie
+rating count (the movie collection does).
 """
 
 from __future__ import annotations
@@ -18,9 +20,24 @@ from reelstats.functions.columns import (
     rating_bin,
     round_half_up,
 )
+from reelstats.operators.joins import DEFAULT_HOT_ROWS, salted_join
 
 # Largest key list that is broadcast; beyond it the semi join shuffles.
 BROADCAST_MAX_KEYS = 1_000_000
+CATALOGUE_COUNT = "rating_count"
+
+
+def lookup_movies(ratings: DataFrame, movies: DataFrame, cols: list[str],
+                  count_col: str = CATALOGUE_COUNT, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Left join of ratings with catalogue columns by movieId. With a per-movie
+    count in the catalogue (an upper bound of ratings per movie), hot movies are
+    split over several tasks; otherwise a plain join."""
+    if count_col in movies.columns:
+        cat = movies.select("movieId", *cols, count_col)
+        salt = ["userId"] if "userId" in ratings.columns else None
+        return salted_join(ratings, cat, "movieId", "left", count_col=count_col,
+                           hot_rows=hot_rows, salt_cols=salt).drop(count_col)
+    return ratings.join(movies.select("movieId", *cols), "movieId", "left")
 
 
 def first_user_ids(ratings: DataFrame, n: int = 20) -> DataFrame:
@@ -62,8 +79,8 @@ def user_exists(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def user_rated_movies(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Each rating with the movie's title ('Inconnu' if unknown) and display genres."""
-    cat = movies.select("movieId", "title", "genres")
-    return ratings.select("userId", "movieId", "rating").join(cat, "movieId", "left").select(
+    rated = lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["title", "genres"])
+    return rated.select(
         "userId",
         "movieId",
         F.coalesce("title", F.lit(UNKNOWN_TITLE)).alias("title"),
@@ -91,10 +108,8 @@ def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k
     """Per user, the `k` genres with the best mean rating among genres with
     at least `min_films` rated movies. A movie unknown to the catalogue counts
     for the empty genre, as the look-up default does."""
-    cat = movies.select("movieId", "genres")
     per_genre = (
-        ratings.select("userId", "movieId", "rating")
-        .join(cat, "movieId", "left")
+        lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["genres"])
         .select("userId", "rating",
                 F.explode(genre_array(F.coalesce("genres", F.lit("")))).alias("genre"))
         .groupBy("userId", "genre")
@@ -113,16 +128,24 @@ def latest_batch(recs: DataFrame) -> DataFrame:
 def user_top_recommendations(recs: DataFrame, movies: DataFrame, k: int = 5,
                              latest_only: bool = True) -> DataFrame:
     """Per user, the `k` best-scored stored recommendations with title, genres and
-    the score rounded to 2 decimals (HALF_UP)."""
-    source = latest_batch(recs) if latest_only else recs
-    top = top_k_per_key(
-        source.select("userId", "movieId", "rating", "batch_id"),
-        "userId",
-        [F.desc("rating"), F.asc("movieId"), F.desc("batch_id")],
-        k,
-    )
-    cat = movies.select("movieId", "title", "genres")
-    return top.join(cat, "movieId", "left").select(
+    the score rounded to 2 decimals (HALF_UP).
+
+    With `latest_only`, only the user's most recent batch counts. That is
+    computed without a join: the top k by (batch desc, score desc) hold the
+    latest batch's best k (or all of it when it has fewer), and the rows of
+    older batches among them are dropped; each step is a per-user top-k with a
+    map-side limit.
+    """
+    cols = recs.select("userId", "movieId", "rating", "batch_id")
+    by_score = [F.desc("rating"), F.asc("movieId"), F.desc("batch_id")]
+    if latest_only:
+        top = top_k_per_key(cols, "userId", [F.desc("batch_id")] + by_score, k)
+        newest = F.max("batch_id").over(Window.partitionBy("userId"))  # over at most k rows
+        top = top.withColumn("_newest", newest).where(F.col("batch_id") == F.col("_newest")).drop("_newest")
+    else:
+        top = top_k_per_key(cols, "userId", by_score, k)
+    top = lookup_movies(top, movies, ["title", "genres"])
+    return top.select(
         "userId",
         "rank",
         "movieId",

@@ -54,3 +54,59 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<userId:int,movieId:int>" in plan
     line = entry.queries()["most_rated_movies"](spark, SMALL_SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in line and "o_totalprice" not in line
+
+
+
+def _hot_user_fixture(spark):
+    from datetime import datetime, timedelta
+
+    from reelstats import schemas
+
+    t0 = datetime(2020, 1, 1)
+    data = [(0 if i % 3 == 0 else 1 + i % 400, i % 997, 0.5 + (i % 10) / 2, t0 + timedelta(days=i % 30))
+            for i in range(30000)]
+    ratings = spark.createDataFrame(data, schemas.RATINGS)
+    movies = spark.createDataFrame([(m, f"m{m} (2000)", "A") for m in range(997)], schemas.MOVIES)
+    return ratings, movies
+
+
+def test_salted_join_splits_a_hot_key_and_keeps_rows(spark):
+    from pyspark.sql import functions as F
+
+    from reelstats.operators.joins import salted_join
+
+    ratings, _ = _hot_user_fixture(spark)
+    per_user = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"), F.avg("rating").alias("a"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for how in ("inner", "left"):
+            salted = salted_join(ratings, per_user, "userId", how, count_col="n", hot_rows=1000)
+            plain = ratings.join(per_user, "userId", how)
+            assert sorted(salted.collect()) == sorted(plain.select(*salted.columns).collect())
+        spread = (salted_join(ratings, per_user, "userId", "inner", count_col="n", hot_rows=1000)
+                  .where("userId = 0").select(F.spark_partition_id().alias("p")).distinct().count())
+        unsplit = (ratings.join(per_user, "userId").where("userId = 0")
+                   .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert unsplit == 1 and spread >= 4
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_enrichment_with_hot_user_and_movie_split_equals_unsplit(spark):
+    from reelstats.operators import prepare
+
+    ratings, movies = _hot_user_fixture(spark)
+    split = prepare.enriched_ratings(ratings, movies, min_movie_ratings=1, min_user_ratings=1, hot_rows=500)
+    whole = prepare.enriched_ratings(ratings, movies, min_movie_ratings=1, min_user_ratings=1,
+                                     hot_rows=10**12)
+    assert split.count() == whole.count() > 0
+    assert sorted(split.collect()) == sorted(whole.collect())
