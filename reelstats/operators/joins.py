@@ -42,7 +42,7 @@ def salted_join(
     key: str,
     how: str = "inner",
     count_col: str = "n",
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = DEFAULT_HOT_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     salt_cols: list[str] | None = None,
 ) -> DataFrame:
@@ -50,10 +50,12 @@ def salted_join(
 
     `per_key` has one row per key and `count_col` = rows of `large` with that
     key (or an upper bound). `salt_cols` should tell the rows of one key apart
-    (default: all other columns of `large`).
+    (default: all other columns of `large`). `hot_rows=None` gives the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if hot_rows is None:
+        return large.join(per_key, key, how)
     hot = F.broadcast(hot_keys(per_key, key, count_col, hot_rows, max_hot_keys))
     spread = salt_cols or [c for c in large.columns if c != key]
     pieces = F.col("_pieces")

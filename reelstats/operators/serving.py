@@ -119,12 +119,6 @@ def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k
     return top_k_per_key(per_genre, "userId", [F.desc("note_moyenne"), F.asc("genre")], k)
 
 
-def latest_batch(recs: DataFrame) -> DataFrame:
-    """Only each user's most recent batch of recommendations."""
-    last = recs.groupBy("userId").agg(F.max("batch_id").alias("batch_id"))
-    return recs.join(last, ["userId", "batch_id"], "left_semi")
-
-
 def user_top_recommendations(recs: DataFrame, movies: DataFrame, k: int = 5,
                              latest_only: bool = True) -> DataFrame:
     """Per user, the `k` best-scored stored recommendations with title, genres and
