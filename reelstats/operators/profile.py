@@ -94,19 +94,17 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def key_counts(df: DataFrame, user_col: str = "userId", item_col: str = "movieId") -> DataFrame:
-    """Rows, distinct users and distinct movies (NULL counted as a value), one row.
+def distinct_with_null(column: str):
+    """Distinct values of `column` with NULL counted as a value, as an aggregate
+    expression (like `select(column).distinct().count()`)."""
+    return F.count_distinct(F.col(column)) + F.max(F.col(column).isNull().cast("long"))
 
-    Three one-row aggregates are combined by an aggregate over their union, so
-    no join of any kind is needed.
-    """
-    none = F.lit(None).cast("long")
-    u = (
-        row_count(df).select(F.col("n_rows"), none.alias("n_users"), none.alias("n_movies"))
-        .unionByName(distinct_count(df, user_col).select(
-            none.alias("n_rows"), F.col("n_distinct").alias("n_users"), none.alias("n_movies")))
-        .unionByName(distinct_count(df, item_col).select(
-            none.alias("n_rows"), none.alias("n_users"), F.col("n_distinct").alias("n_movies")))
+
+def key_counts(df: DataFrame, user_col: str = "userId", item_col: str = "movieId") -> DataFrame:
+    """Rows, distinct users and distinct movies (NULL counted as a value), one row,
+    from a single aggregate pass over `df`."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(distinct_with_null(user_col), F.lit(0)).alias("n_users"),
+        F.coalesce(distinct_with_null(item_col), F.lit(0)).alias("n_movies"),
     )
-    return u.agg(F.max("n_rows").alias("n_rows"), F.max("n_users").alias("n_users"),
-                 F.max("n_movies").alias("n_movies"))

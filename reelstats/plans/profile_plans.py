@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reelstats import schemas
 from reelstats.operators import profile
 from reelstats.plans import inputs
 from reelstats.plans.oracle import with_fixtures
@@ -15,9 +16,10 @@ from reelstats.sources.files import read_csv
 
 @register("csv_row_count", with_fixtures("SELECT COUNT(*) AS n_rows FROM ratings"))
 def csv_row_count(spark, sf_dir):
-    """Ratings written as CSV with a header, read back with schema inference, counted."""
+    """Ratings written as CSV with a header, read back with the declared schema
+    (no inference pass), counted."""
     path = write_csv(inputs.ratings(spark, sf_dir), scratch_path(spark, "ratings-csv"))
-    return profile.row_count(read_csv(spark, path, infer_schema=True))
+    return profile.row_count(read_csv(spark, path, schema=schemas.RATINGS))
 
 
 @register(

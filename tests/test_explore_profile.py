@@ -114,3 +114,17 @@ def test_table_shape_and_preview(spark):
     m = spark.createDataFrame([(1, "a", "A")], schemas.MOVIES)
     assert rows(profile.table_shape({"r": r, "m": m})) == [("m", 3, 1), ("r", 4, 2)]
     assert [x["userId"] for x in profile.preview(r, 1, ["userId"]).collect()] == [1]
+
+
+def test_csv_round_trip_with_schema_and_inference(spark):
+    import tempfile
+
+    from reelstats.sinks.writers import write_csv
+    from reelstats.sources.files import read_csv
+
+    r = spark.createDataFrame([(1, 2, 3.5, T0), (2, 3, None, T0)], schemas.RATINGS)
+    path = write_csv(r, tempfile.mkdtemp(prefix="reelstats-csv-") + "/r")
+    typed = read_csv(spark, path, schema=schemas.RATINGS)
+    assert rows(typed) == rows(r)
+    inferred = read_csv(spark, path, infer_schema=True)
+    assert dict(inferred.dtypes)["userId"] == "int" and inferred.count() == 2
