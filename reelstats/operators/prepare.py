@@ -125,6 +125,28 @@ def user_stats(ratings: DataFrame) -> DataFrame:
     )
 
 
+def shared_clean_ratings(ratings: DataFrame) -> DataFrame:
+    """`clean_ratings` materialized once for several consumers.
+
+    Shuffle files are what Spark shares between consumers of one subplan, so
+    without an exchange here each consumer would re-sort and re-aggregate the
+    dedup output. A rebalance on the pair key is kept by the optimizer (a plain
+    repartition on the same key is removed as redundant); the key is unique
+    after the dedup, so it cannot skew.
+    """
+    return clean_ratings(ratings).hint("rebalance", "userId", "movieId")
+
+
+def movie_catalogue(clean: DataFrame, movies: DataFrame,
+                    min_movie_ratings: int = DEFAULT_MIN_MOVIE_RATINGS,
+                    require_year: bool = True) -> DataFrame:
+    """Clean movies with features and at least `min_movie_ratings` clean ratings:
+    movieId, title, genres, year, genre_count, rating_count."""
+    return movies_min_support(
+        movie_features(clean_movies(movies, require_year=require_year)), clean, min_movie_ratings
+    ).select("movieId", "title", "genres", "year", "genre_count", "rating_count")
+
+
 def enriched_ratings(
     ratings: DataFrame,
     movies: DataFrame,
@@ -145,22 +167,13 @@ def enriched_ratings(
     Both joins with the large side split users or movies with more than
     `hot_rows` ratings (see `joins.salted_join`).
     """
-    # The deduplicated pairs feed five consumers. Shuffle files are what Spark
-    # shares between them, so without an exchange here each consumer would
-    # re-sort and re-aggregate the dedup output. A rebalance on the pair key is
-    # kept by the optimizer (a plain repartition on the same key is removed as
-    # redundant); the key is unique after the dedup, so it cannot skew.
-    clean = clean_ratings(ratings).hint("rebalance", "userId", "movieId")
+    clean = shared_clean_ratings(ratings)
 
     users = user_rating_stats(clean).where(F.col("user_rating_count") >= min_user_ratings)
     active = salted_join(clean, users, "userId", "inner", count_col="user_rating_count",
                          hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["movieId"])
 
-    kept_movies = movies_min_support(
-        movie_features(clean_movies(movies, require_year=require_year)),
-        clean,
-        min_movie_ratings,
-    ).select("movieId", "title", "genres", "year", "genre_count", "rating_count")
+    kept_movies = movie_catalogue(clean, movies, min_movie_ratings, require_year)
 
     per_movie = movie_stats(active).join(kept_movies, "movieId", "left")
 

@@ -35,10 +35,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean movies with features and enough support (the movie catalogue)."""
-    clean = prepare.clean_ratings(ratings(spark, sf_dir))
-    return prepare.movies_min_support(
-        prepare.movie_features(prepare.clean_movies(movies(spark, sf_dir))),
-        clean,
-        QUERY_MIN_MOVIE_RATINGS,
-    ).select("movieId", "title", "genres", "year", "genre_count", "rating_count")
+    """Clean movies with features and enough support (the movie catalogue), built
+    exactly as inside the enrichment so that a query using both shares the plan."""
+    clean = prepare.shared_clean_ratings(ratings(spark, sf_dir))
+    return prepare.movie_catalogue(clean, movies(spark, sf_dir), QUERY_MIN_MOVIE_RATINGS)
