@@ -24,6 +24,26 @@ RECOMMENDED_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings sized for a job reading `input_bytes` on `executor_cores_total` cores.
+
+    Shuffle partitions are set so an average partition is about
+    `target_partition_bytes` before AQE coalescing (and at least two per core);
+    scans split files at the same size; AQE's advisory size and skew threshold
+    follow it, so a partition several times larger than the median is split.
+    """
+    partitions = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(
     master: str = "local[8]",
     shuffle_partitions: int = 8,

@@ -119,3 +119,13 @@ def test_sample_helpers(spark):
     assert files.sample_capped(r, 4).count() == 4
     assert sorted(x["userId"] for x in files.sample_id_range(r, "userId", 2, 5, 100).collect()) == [2, 3, 4, 5]
     assert files.sample_id_range(r, "userId", 2, 5, 3).count() == 3
+
+
+def test_scale_conf_sizes_partitions():
+    from reelstats.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    small = scale_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
