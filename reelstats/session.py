@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # ALS shuffles RDDs of factor blocks; Kryo serializes them faster than Java
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
