@@ -59,15 +59,10 @@ def salted_join(
     hot = F.broadcast(hot_keys(per_key, key, count_col, hot_rows, max_hot_keys))
     spread = salt_cols or [c for c in large.columns if c != key]
     pieces = F.col("_pieces")
-    big = (
-        large.join(hot, key, "left")
-        .withColumn("_salt", F.when(pieces.isNull(), F.lit(0))
-                    .otherwise(F.pmod(F.xxhash64(*spread), pieces)).cast("int"))
-        .drop("_pieces")
-    )
-    small = (
-        per_key.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(pieces, F.lit(1)) - 1)))
-        .drop("_pieces")
-    )
-    return big.join(small, [key, "_salt"], how).drop("_salt")
+    salt = F.when(pieces.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread), pieces)).cast("int")
+    big = large.join(hot, key, "left").select(*large.columns, salt.alias("_salt"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(pieces, F.lit(1)) - 1))
+    small = per_key.join(hot, key, "left").select(*per_key.columns, copies.alias("_salt"))
+    joined = big.join(small, [key, "_salt"], how)
+    return joined.select(key, *[c for c in large.columns if c != key],
+                         *[c for c in per_key.columns if c != key])

@@ -41,8 +41,8 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
     best = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
     return df.groupBy(*keys).agg(best).select(
-        *keys, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c not in keys]
-    ).select(*df.columns)
+        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
+    )
 
 
 def dedup_smallest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -50,8 +50,8 @@ def dedup_smallest(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     rest = [c for c in df.columns if c not in keys and c not in order]
     best = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
     return df.groupBy(*keys).agg(best).select(
-        *keys, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c not in keys]
-    ).select(*df.columns)
+        *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]
+    )
 
 
 def clean_movies(movies: DataFrame, require_year: bool = True) -> DataFrame:
