@@ -39,5 +39,12 @@ def rows(df, cols=None):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+def plan_text(df, mode: str | None = None) -> str:
+    """The physical plan as printed by `explain` (final once the DataFrame has run)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode) if mode else df.explain()
+    return buf.getvalue()

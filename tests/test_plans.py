@@ -26,7 +26,7 @@ def _executed(df):
 
 @pytest.mark.parametrize("key", STATIC_KEYS)
 def test_no_cartesian_or_nested_loop_join(spark, key):
-    plan = entry.queries()[key](spark, SMALL_SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    plan = plan_text(entry.queries()[key](spark, SMALL_SF_DIR))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -39,7 +39,7 @@ def test_enriched_reuses_the_clean_ratings_shuffle(spark):
 
 
 def test_top_k_per_user_is_limited_before_the_shuffle(spark):
-    plan = entry.queries()["user_top_genres"](spark, SMALL_SF_DIR)._jdf.queryExecution().sparkPlan().toString()
+    plan = plan_text(entry.queries()["user_top_genres"](spark, SMALL_SF_DIR))
     assert "WindowGroupLimit" in plan
 
 
@@ -49,10 +49,10 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     inputs.ratings(spark, SMALL_SF_DIR).write.parquet(path)
     ratings = spark.read.parquet(path)
     sample = files.sample_id_range(ratings, "userId", 1, 1000, 2_000_000).select("movieId")
-    plan = sample._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(sample)
     assert "PushedFilters: [IsNotNull(userId), GreaterThanOrEqual(userId,1), LessThanOrEqual(userId,1000)]" in plan
     assert "ReadSchema: struct<userId:int,movieId:int>" in plan
-    line = entry.queries()["most_rated_movies"](spark, SMALL_SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    line = plan_text(entry.queries()["most_rated_movies"](spark, SMALL_SF_DIR))
     assert "l_extendedprice" not in line and "o_totalprice" not in line
 
 
