@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,14 +35,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
-def sample_capped(df: DataFrame, cap: int) -> DataFrame:
-    """At most `cap` rows, which rows is unspecified (the caller may persist it)."""
-    return df.limit(cap)
+def _kept(df: DataFrame, persist: bool) -> DataFrame:
+    # the caller owns the cache and calls unpersist() when done
+    return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
 
-def sample_id_range(df: DataFrame, column: str, low: int, high: int, cap: int) -> DataFrame:
-    """Rows whose id lies in [low, high], at most `cap` of them."""
-    return df.where(F.col(column).between(low, high)).limit(cap)
+def sample_capped(df: DataFrame, cap: int, persist: bool = False) -> DataFrame:
+    """At most `cap` rows, which rows is unspecified; optionally cached."""
+    return _kept(df.limit(cap), persist)
+
+
+def sample_id_range(df: DataFrame, column: str, low: int, high: int, cap: int,
+                    persist: bool = False) -> DataFrame:
+    """Rows whose id lies in [low, high], at most `cap` of them; optionally cached."""
+    return _kept(df.where(F.col(column).between(low, high)).limit(cap), persist)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -76,3 +76,20 @@ def test_kafka_source_needs_its_connector(spark):
     # the connector is not installed here: the failure names the missing source
     with pytest.raises(Exception, match="(?i)kafka"):
         decode.read_message_stream(spark, "kafka", decode.kafka_options("localhost:9", "t"))
+
+
+def test_genre_counts_without_genres_column(spark):
+    from reelstats.operators import explore
+
+    m = spark.createDataFrame([(1, "a")], "movieId int, title string")
+    out = explore.genre_counts(m)
+    assert out.columns == ["genre", "count"] and out.count() == 0
+
+
+def test_cached_sample(spark):
+    r = spark.createDataFrame([(u, 1, 3.0, T0) for u in range(10)], schemas.RATINGS)
+    s = files.sample_id_range(r, "userId", 1, 5, 100, persist=True)
+    try:
+        assert s.is_cached and s.count() == 5
+    finally:
+        s.unpersist()
