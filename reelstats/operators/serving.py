@@ -77,9 +77,10 @@ def user_exists(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
     )
 
 
-def user_rated_movies(ratings: DataFrame, movies: DataFrame) -> DataFrame:
+def user_rated_movies(ratings: DataFrame, movies: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Each rating with the movie's title ('Inconnu' if unknown) and display genres."""
-    rated = lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["title", "genres"])
+    rated = lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["title", "genres"],
+                          hot_rows=hot_rows)
     return rated.select(
         "userId",
         "movieId",
@@ -104,12 +105,13 @@ def top_k_per_key(df: DataFrame, key: str, order: list, k: int, rank_col: str =
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k: int = 5) -> DataFrame:
+def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k: int = 5,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Per user, the `k` genres with the best mean rating among genres with
     at least `min_films` rated movies. A movie unknown to the catalogue counts
     for the empty genre, as the look-up default does."""
     per_genre = (
-        lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["genres"])
+        lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["genres"], hot_rows=hot_rows)
         .select("userId", "rating",
                 F.explode(genre_array(F.coalesce("genres", F.lit("")))).alias("genre"))
         .groupBy("userId", "genre")

@@ -155,3 +155,13 @@ def test_keyed_messages_round_trip(spark):
     back = spark.read.schema("key string, value string").json(os.path.join(d, "m"))
     dec = decode.decode_json(back, keep=("key",)).first()
     assert (dec["key"], dec["userId"], dec["movieId"], dec["rating"]) == ("1", 1, 2, 3.5)
+
+
+def test_lookups_with_hot_movie_split_equal_unsplit(spark):
+    data = [(u, 1 if u % 2 else 2 + u % 3, 1.0 + u % 4, T0) for u in range(300)]
+    r = spark.createDataFrame(data, schemas.RATINGS)
+    from pyspark.sql import functions as F
+
+    cat = _movies(spark).withColumn("rating_count", F.lit(200))
+    for fn in (serving.user_rated_movies, serving.user_top_genres):
+        assert sorted(fn(r, cat, hot_rows=20).collect()) == sorted(fn(r, cat, hot_rows=None).collect())
