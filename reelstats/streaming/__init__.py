@@ -1,0 +1 @@
+"""Structured Streaming: message decoding, per-batch recommendations, query runners."""
