@@ -1,11 +1,11 @@
 """SimHash fingerprints with DataFrame functions only (operator 6).
 
-Terms are word 5-shingles (fewer words: the whole sequence), each weighted by
-the number of its occurrences. Two 63-bit hashes of a term vote on 126 signed
-bits; a bit is set where more than half of the votes set it. Three 21-bit vote
-counters share one long, so a term costs 42 integer additions inside generated
-code; counters are unpacked per block of 2^20 terms, before they can overflow.
-The fingerprint is a string of 32 hex digits.
+Terms are a text's distinct word 5-shingles (fewer words: the whole sequence),
+of weight 2, and its distinct words, of weight 1. Two 64-bit hashes of a term
+vote on 128 signed bits; a bit is set where more than half of the weight sets
+it. Eight 8-bit vote counters share one long, so a term costs 16 masked
+additions inside generated code; counters are unpacked for every 63 terms,
+before they can overflow. The fingerprint is a string of 32 hex digits.
 
 `within_radius` finds all pairs of distinct fingerprints within a Hamming
 radius: the bits are cut into radius + `spare` blocks, and for every choice of
@@ -33,51 +33,50 @@ from pyspark.sql import functions as F
 from reelstats.llm.tables import NULL_ID, written
 
 SHINGLE = 5
-BITS = 126
-_LANES = (1 << 42) | (1 << 21) | 1
-_BLOCK = 1 << 20
+BITS = 128
+_LANES = 0x0101010101010101
+_BLOCK = 63  # terms of weight 2 that an 8-bit counter takes without its sign bit
 _SPLIT = r"[\x20\x09-\x0D]+"
 _TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
 
-def _shingles(text: Column) -> Column:
-    """Array of structs of five words; the last ones are null where a text has fewer words."""
-    words = F.split(F.regexp_replace(text, _TRIM, ""), _SPLIT)
-    n = F.size(words)
-    whole = F.array(F.struct(*[F.get(words, F.lit(i)).alias(f"w{i}") for i in range(SHINGLE)]))
-    zipped = F.arrays_zip(*[F.slice(words, i + 1, n - (SHINGLE - 1)).alias(f"w{i}") for i in range(SHINGLE)])
-    return F.when(n >= SHINGLE, zipped).otherwise(whole)
-
-
-def _bit(counts: Column, total: Column) -> Column:
-    return F.when(counts * 2 > total, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+def _terms(texts: DataFrame, key: list[str], text: str) -> DataFrame:
+    """key, _pos, _term: one row per distinct term; the lowest bit of a term tells a shingle from a word."""
+    words = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), _TRIM, ""), _SPLIT)
+    # hashes first: arrays of longs, not of strings, are sliced and exploded
+    hashed = texts.select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias("_w"))
+    rest = [lambda i, k=k: F.get("_w", i + k) for k in range(1, SHINGLE)]
+    starts = F.slice("_w", 1, F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(0)))
+    shingles = F.when(
+        F.size("_w") >= SHINGLE, F.transform(starts, lambda w, i: F.xxhash64(w, *[r(i) for r in rest]).bitwiseOR(F.lit(1)))
+    ).otherwise(F.array(F.xxhash64("_w").bitwiseOR(F.lit(1))))
+    single = F.transform("_w", lambda w: w.bitwiseAND(F.lit(-2)))
+    return hashed.select(*key, F.posexplode(F.concat(F.array_distinct(shingles), F.array_distinct(single))).alias("_pos", "_term"))
 
 
 def fingerprints(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """key columns and `fp_hi`, `fp_lo` (63 bits each) of every row; key must identify a row."""
-    terms = texts.select(*key, F.posexplode(_shingles(F.coalesce(F.col(text), F.lit("")))).alias("_pos", "_t"))
-    words = [F.col(f"_t.w{i}") for i in range(SHINGLE)]
-    hashed = terms.select(
-        *key, F.shiftright("_pos", 20).alias("_block"),
-        F.xxhash64(F.lit(11), *words).alias("_h0"), F.xxhash64(F.lit(29), *words).alias("_h1"),
+    """key columns and `fp_hi`, `fp_lo` (64 bits each) of every row; key must identify a row."""
+    hashed = _terms(texts, key, text).select(
+        *key, F.expr(f"_pos div {_BLOCK}").alias("_block"), (F.col("_term").bitwiseAND(F.lit(1)) + 1).alias("_weight"),
+        F.xxhash64("_term").alias("_h0"), F.xxhash64("_term", F.lit(29)).alias("_h1"),
     )
+    lanes = F.lit(_LANES).cast("long")
     sums = [
-        F.sum(F.shiftrightunsigned(f"_h{h}", i).bitwiseAND(F.lit(_LANES))).alias(f"_s{h}_{i}")
-        for h in (0, 1) for i in range(21)
+        F.sum(F.shiftrightunsigned(f"_h{h}", i).bitwiseAND(lanes) * F.col("_weight")).alias(f"_s{h}_{i}")
+        for h in (0, 1) for i in range(8)
     ]
-    packed = hashed.groupBy(*key, "_block").agg(F.count(F.lit(1)).alias("_n"), *sums)
-    lane = F.lit((1 << 21) - 1)
+    packed = hashed.groupBy(*key, "_block").agg(F.sum("_weight").alias("_n"), *sums)
     unpacked = [
-        F.sum(F.shiftrightunsigned(f"_s{h}_{i}", 21 * k).bitwiseAND(lane)).alias(f"_c{h}_{i + 21 * k}")
-        for h in (0, 1) for k in range(3) for i in range(21)
+        F.sum(F.shiftrightunsigned(f"_s{h}_{i}", 8 * k).bitwiseAND(F.lit(255))).alias(f"_c{h}_{i + 8 * k}")
+        for h in (0, 1) for k in range(8) for i in range(8)
     ]
     votes = packed.groupBy(*key).agg(F.sum("_n").alias("_total"), *unpacked)
-    total = F.col("_total")
 
     def joined(h: int) -> Column:
         out = F.lit(0).cast("long")
-        for b in range(63):
-            out = out.bitwiseOR(F.shiftleft(_bit(F.col(f"_c{h}_{b}"), total), b))
+        for b in range(64):
+            bit = F.when(F.col(f"_c{h}_{b}") * 2 > F.col("_total"), F.lit(1)).otherwise(F.lit(0)).cast("long")
+            out = out.bitwiseOR(F.shiftleft(bit, b))
         return out
 
     return votes.select(*key, joined(0).alias("fp_hi"), joined(1).alias("fp_lo"))
@@ -160,8 +159,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
 def within_radius(prints: DataFrame, radius: int = 12, spare: int = 4) -> DataFrame:
     """All pairs (a_hi, a_lo) < (b_hi, b_lo) of distinct fingerprints within the radius, and their distance.
 
-    prints: fp_hi, fp_lo (63 bits each). With radius + spare blocks of about
-    126 / (radius + spare) bits, a key has spare blocks; every pair within the
+    prints: fp_hi, fp_lo (64 bits each). With radius + spare blocks of about
+    128 / (radius + spare) bits, a key has spare blocks; every pair within the
     radius agrees on at least spare blocks, so it meets in one of the
     (radius + spare choose spare) tables; the table of its first agreeing
     blocks reports it.
@@ -169,7 +168,7 @@ def within_radius(prints: DataFrame, radius: int = 12, spare: int = 4) -> DataFr
     n = radius + spare
     edge = [round(i * BITS / n) for i in range(n + 1)]
     distinct = prints.select("fp_hi", "fp_lo").distinct()
-    bits = F.concat(F.lpad(F.bin(F.col("fp_hi")), 63, "0"), F.lpad(F.bin(F.col("fp_lo")), 63, "0"))
+    bits = F.concat(F.lpad(F.bin(F.col("fp_hi")), 64, "0"), F.lpad(F.bin(F.col("fp_lo")), 64, "0"))
     blocks = distinct.select("fp_hi", "fp_lo", F.array(*[F.substring(bits, edge[i] + 1, edge[i + 1] - edge[i]) for i in range(n)]).alias("_blocks"))
     tables = F.array(*[F.struct(F.lit(t).alias("no"), F.concat_ws("", *[F.get("_blocks", F.lit(i)) for i in chosen]).alias("bits")) for t, chosen in enumerate(combinations(range(n), spare))])
     keyed = blocks.select("fp_hi", "fp_lo", F.explode(tables).alias("_k")).select("fp_hi", "fp_lo", F.col("_k.no").alias("_no"), F.xxhash64("_k.no", "_k.bits").alias("_key"))
