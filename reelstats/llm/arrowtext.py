@@ -82,18 +82,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, kept by the Python worker for usual lengths."""
+    kept = process_cache("powers")
+    if len(kept.get("up", ())) >= n:
+        return kept["up"][:n], kept["down"][:n]
+    up, down = np.full(max(n, CHUNK_BYTES + 1), _P, U64), np.full(max(n, CHUNK_BYTES + 1), _P_INV, U64)
+    up[0] = down[0] = 1
+    np.cumprod(up, out=up)
+    np.cumprod(down, out=down)
+    if n <= 2 * CHUNK_BYTES:
+        kept["up"], kept["down"] = up, down
+    return up[:n], down[:n]
+
+
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte span, from one prefix sum over the buffer."""
     n = len(buf)
-    power = np.full(n + 1, _P, U64)
-    power[0] = 1
-    np.cumprod(power, out=power)
+    up, down = _powers(n + 1)
     total = np.zeros(n + 1, U64)
-    np.cumsum(_BYTE[buf] * power[:n], out=total[1:])
-    inverse = np.full(n + 1, _P_INV, U64)
-    inverse[0] = 1
-    np.cumprod(inverse, out=inverse)
-    h = (total[end] - total[start]) * inverse[start]
+    np.multiply(_BYTE[buf], up[:n], out=total[1:])
+    np.cumsum(total, out=total)
+    h = (total[end] - total[start]) * down[start]
     return mix(h + (end - start).astype(U64) * _M2)
 
 
