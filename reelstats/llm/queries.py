@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstats.llm import (
+    fm_dedup,
     line_dedup,
     mixing,
+    ngram_join,
     packing,
     quality_classifier,
     quality_rules,
@@ -37,6 +39,14 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.drop_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -59,7 +69,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_files, op3_quality_classifier, op6_simhash,
+    op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
     op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing,
 )}
 
