@@ -5,8 +5,10 @@ document; a word is removed when a window covers it whose word sequence also
 starts earlier (smaller doc_id, or the same document further left), judged on
 the input.
 
-1. Anchors. A window's anchor is its least 5-word hash (the leftmost of equal
-   ones), so equal windows have equal anchors at equal places. Neighbouring
+1. Anchors. All 5-word grams of all documents are counted in a fixed-size table
+   that orders them from rare to frequent. A window's anchor is its rarest gram
+   (the leftmost of equal ones), so equal windows have equal anchors at equal
+   places, and windows that reach beyond a frequent passage have rare ones. Neighbouring
    windows with one anchor occurrence form a context: at most 16 windows, 35
    words. Inside a task, equal contexts meet at once: all but the first are
    repeats, and only the first goes on (so a group of copies costs a context
@@ -39,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.llm import arrowtext as at
+from reelstats.llm import rarity
 from reelstats.llm.tables import id_key, shards_for, written
 
 WINDOW = 20
@@ -52,17 +55,32 @@ def _word_hashes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at.span_hash(buf, start, end), counts
 
 
-def contexts(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor hash, first window's word position, windows) of every context of the rows, in order."""
+def gram_classes(docs: DataFrame) -> np.ndarray:
+    """Frequency classes of all 5-word grams (see rarity)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(rarity.COUNTERS, np.uint32)
+        for batch in batches:
+            for part in at.chunks(batch, "text"):
+                h, counts = _word_hashes(part.column("text"))
+                rarity.count(table, at.ngram_hash(h, GRAM)[at.window_starts(counts, GRAM)])
+        if table.any():
+            yield pa.record_batch([pa.array(range(rarity.SEGMENTS), pa.int64()), pa.array(rarity.packed(table), pa.binary())], names=["segment", "counts"])
+
+    return rarity.merged(docs.select("text").mapInArrow(run, "segment long, counts binary"))
+
+
+def contexts(h: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor code, first window's word position, windows) of every context of the rows, in order."""
     first = at.window_starts(counts, WINDOW)
     if not len(first):
         return np.zeros(0, at.U64), first, first
-    gram = at.ngram_hash(h, GRAM)
-    view = np.lib.stride_tricks.sliding_window_view(gram, _VIEW)
+    code = rarity.codes(at.ngram_hash(h, GRAM), classes)
+    view = np.lib.stride_tricks.sliding_window_view(code, _VIEW)
     place = first + view.argmin(axis=1)[first]
-    # positions of one row only: a context ends where the row or the anchor changes
+    # a context ends where the row or the anchor changes
     cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (first[1:] != first[:-1] + 1)]))
-    return gram[place[cut]], first[cut], np.diff(np.concatenate([cut, [len(first)]]))
+    return code[place[cut]], first[cut], np.diff(np.concatenate([cut, [len(first)]]))
 
 
 def _run_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -73,16 +91,19 @@ def _run_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return at.mix((total[end] - total[start]) * down[start] + (end - start).astype(at.U64))
 
 
-def first_contexts(docs: DataFrame, shards: int) -> DataFrame:
-    """kind 0: (shard, packed anchor, doc, start, windows) of each task's first contexts; kind 1: repeats inside a task. Written once."""
-    names = ["kind", "shard", "anchor", "doc", "start", "windows"]
+def suspect_contexts(docs: DataFrame, classes, shards: int) -> DataFrame:
+    """doc, start, windows, is_repeat: contexts whose anchor occurs in several of them; is_repeat: an equal context is earlier in its task. Written once."""
+    names = ["shard", "anchor", "doc", "start", "windows"]
+
+    def packed(shard: int, *cols: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([shard], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in cols)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for part in at.chunks(batch, "text"):
                 h, counts = _word_hashes(part.column("text"))
-                anchor, start, windows = contexts(h, counts)
+                anchor, start, windows = contexts(h, counts, classes.value)
                 row = at.rows_of(counts)[start] if len(start) else start
                 begin = np.cumsum(counts) - counts
                 ids = part.column("_id").to_numpy()
@@ -91,77 +112,55 @@ def first_contexts(docs: DataFrame, shards: int) -> DataFrame:
             return
         anchor, whole, doc, start, windows = (np.concatenate(c) for c in zip(*cols))
         cols.clear()
+        if not len(anchor):
+            return
         key = at.mix(anchor ^ at.mix(whole))
         order = np.lexsort((start, doc, key))
-        key = key[order]
         again = np.zeros(len(key), bool)
-        again[1:] = key[1:] == key[:-1]
+        again[1:] = key[order][1:] == key[order][:-1]
         # the same position of rows that share a doc_id is not earlier
-        d, s = doc[order], start[order]
-        if len(key):
-            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(key))))
-            repeat = again & ((d != d[head]) | (s != s[head]))
-        else:
-            repeat = again
-        for a in range(0, int(repeat.sum()), 200_000):
-            i = order[np.flatnonzero(repeat)[a : a + 200_000]]
-            yield _packed_repeats(doc[i], start[i], windows[i], names)
+        head = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(key))))]
+        repeat = order[again & ((doc[order] != doc[head]) | (start[order] != start[head]))]
         first = np.sort(order[~again])
-        anchor, doc, start, windows = anchor[first], doc[first], start[first], windows[first]
-        shard = (at.mix(anchor) % at.U64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(shards + 1))
+        # repeats take any shard; there they pass through
+        for i in range(0, len(repeat), 100_000):
+            own = repeat[i : i + 100_000]
+            yield packed(int(doc[own[0]] + i) % shards, np.zeros(0, at.U64), doc[own], start[own], windows[own])
+        shard = (at.mix(anchor[first]) % at.U64(shards)).astype(np.int64)
+        order = first[np.argsort(shard, kind="stable")]
+        cut = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
         for i in range(shards):
             own = order[cut[i] : cut[i + 1]]
             if len(own):
-                yield pa.record_batch([
-                    pa.array([0], pa.int32()), pa.array([i], pa.int32()), *(pa.array([x[own].tobytes()], pa.binary()) for x in (anchor, doc, start, windows)),
-                ], names=names)
-
-    rows = docs.select(id_key().cast("long").alias("_id"), "text").mapInArrow(run, "kind int, shard int, anchor binary, doc binary, start binary, windows binary")
-    return written(rows, "anchors")
-
-
-def _packed_repeats(doc: np.ndarray, start: np.ndarray, windows: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    """One packed row of repeats."""
-    return pa.record_batch([
-        pa.array([1], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-        *(pa.array([x.tobytes()], pa.binary()) for x in (doc, start, windows)),
-    ], names=names)
+                yield packed(i, anchor[own], doc[own], start[own], windows[own])
 
-
-def _intervals(packed: DataFrame) -> DataFrame:
-    """doc, start, windows rows of packed columns."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for d, s, w in zip(*(batch.column(c) for c in ("doc", "start", "windows"))):
+    def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(doc: np.ndarray, start: np.ndarray, windows: np.ndarray, is_repeat: bool) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(doc), 200_000):
+                i = slice(a, a + 200_000)
                 yield pa.record_batch([
-                    pa.array(np.frombuffer(d.as_py(), np.int64)), pa.array(np.frombuffer(s.as_py(), np.int32)), pa.array(np.frombuffer(w.as_py(), np.uint8).astype(np.int32)),
-                ], names=["doc", "start", "windows"])
-
-    return packed.select("doc", "start", "windows").mapInArrow(run, "doc long, start int, windows int")
-
-
-def repeated_anchors(first: DataFrame) -> DataFrame:
-    """doc, start, windows of the contexts whose anchor occurs in two or more of them."""
+                    pa.array(doc[i]), pa.array(start[i]), pa.array(windows[i].astype(np.int32)), pa.array(np.full(len(doc[i]), is_repeat)),
+                ], names=["doc", "start", "windows", "is_repeat"])
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for a, d, s, w in zip(*(batch.column(c) for c in ("anchor", "doc", "start", "windows"))):
-                parts.append((np.frombuffer(a.as_py(), at.U64), np.frombuffer(d.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32), np.frombuffer(w.as_py(), np.uint8)))
+            for a, d, s, w in zip(*(batch.column(c) for c in names[1:])):
+                own = (np.frombuffer(a.as_py(), at.U64), np.frombuffer(d.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32), np.frombuffer(w.as_py(), np.uint8))
+                if len(own[0]):
+                    parts.append(own)
+                else:
+                    yield from rows(*own[1:], True)
+        if not parts:
+            return
         anchor, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
         parts.clear()
         order = np.argsort(anchor, kind="stable")
         same = np.concatenate([[False], anchor[order][1:] == anchor[order][:-1], [False]])
         hit = order[same[1:] | same[:-1]]
-        for a in range(0, len(hit), 200_000):
-            i = hit[a : a + 200_000]
-            yield pa.record_batch([pa.array(doc[i]), pa.array(start[i]), pa.array(windows[i].astype(np.int32))], names=["doc", "start", "windows"])
+        yield from rows(doc[hit], start[hit], windows[hit], False)
 
-    packed = first.where("kind = 0").select("shard", "anchor", "doc", "start", "windows")
-    return packed.groupBy("shard").applyInArrow(run, "doc long, start int, windows int")
+    arrays = docs.select(id_key().cast("long").alias("_id"), "text").mapInArrow(run, "shard int, anchor binary, doc binary, start binary, windows binary")
+    return written(arrays.groupBy("shard").applyInArrow(meet, "doc long, start int, windows int, is_repeat boolean"), "suspects")
 
 
 class WaveletMatrix:
@@ -258,15 +257,17 @@ def earliest(words: np.ndarray, length: np.ndarray, windows: np.ndarray, age: np
     return least[at_low] < age
 
 
-def search_shards(docs: DataFrame, suspects: DataFrame, shards: int) -> DataFrame:
+def search_shards(docs: DataFrame, suspects: DataFrame, classes, shards: int) -> DataFrame:
     """doc, start, windows: intervals of windows with an earlier equal window, by FM-index."""
     per_doc = suspects.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("_spans"))
     texts = docs.select(id_key().cast("long").alias("doc"), "text").join(per_doc, "doc")
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in at.chunks(batch, "text", 8 << 20):
-                h, counts = _word_hashes(part.column("text"))
+            for part in at.chunks(batch, "text"):
+                buf, off = at.utf8(part.column("text"))
+                first, end, counts = at.words(buf, off)
+                code = rarity.codes(at.ngram_hash(at.span_hash(buf, first, end), GRAM), classes.value)
                 begin = np.cumsum(counts) - counts
                 spans = part.column("_spans")
                 off = spans.offsets.to_numpy()
@@ -278,28 +279,32 @@ def search_shards(docs: DataFrame, suspects: DataFrame, shards: int) -> DataFram
                 # rows that share a doc_id: a span of the other row may not fit
                 fits = start + length <= counts[row]
                 row, start, windows, length = row[fits], start[fits], windows[fits], length[fits]
-                gram = at.ngram_hash(h, GRAM)
-                base = begin[row] + start
-                if not len(base):
+                if not len(row):
                     continue
-                # the windows' common anchor: the least gram of the first window
-                anchor = np.lib.stride_tricks.sliding_window_view(gram, _VIEW)[base].min(axis=1)
+                base = begin[row] + start
+                # the windows' common anchor is the least gram of the first window
+                anchor = np.lib.stride_tricks.sliding_window_view(code, _VIEW)[base].min(axis=1)
                 shard = (at.mix(anchor) % at.U64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 cut = np.searchsorted(shard[order], np.arange(shards + 1))
                 ids = part.column("doc").to_numpy()[row]
+                byte, size = first[base], end[base + length - 1] - first[base]
                 for i in np.unique(shard).tolist():
                     own = order[cut[i] : cut[i + 1]]
                     yield pa.record_batch([
-                        pa.array([i], pa.int32()), pa.array([h[at.flat(base[own], length[own])].tobytes()], pa.binary()),
-                        *(pa.array([x.tobytes()], pa.binary()) for x in (ids[own], start[own].astype(np.int32), windows[own].astype(np.uint8))),
-                    ], names=["shard", "words", "doc", "start", "windows"])
+                        pa.array([i], pa.int32()), pa.array([buf[at.flat(byte[own], size[own])].tobytes()], pa.binary()),
+                        *(pa.array([x.tobytes()], pa.binary()) for x in (size[own].astype(np.int32), ids[own], start[own].astype(np.int32), windows[own].astype(np.uint8))),
+                    ], names=["shard", "texts", "size", "doc", "start", "windows"])
 
     def index(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for x, d, s, w in zip(*(batch.column(c) for c in ("words", "doc", "start", "windows"))):
-                parts.append((np.frombuffer(x.as_py(), at.U64), np.frombuffer(d.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32), np.frombuffer(w.as_py(), np.uint8)))
+            for t, z, d, s, w in zip(*(batch.column(c) for c in ("texts", "size", "doc", "start", "windows"))):
+                size = np.frombuffer(z.as_py(), np.int32)
+                off = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+                buf = np.frombuffer(t.as_py(), np.uint8)
+                begin, end, _ = at.words(buf, off)
+                parts.append((at.span_hash(buf, begin, end), np.frombuffer(d.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32), np.frombuffer(w.as_py(), np.uint8)))
         words, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
         parts.clear()
         windows = windows.astype(np.int64)
@@ -319,16 +324,17 @@ def search_shards(docs: DataFrame, suspects: DataFrame, shards: int) -> DataFram
             c = cut[a : a + 200_000]
             yield pa.record_batch([pa.array(d[c]), pa.array(s[c].astype(np.int32)), pa.array(run[a : a + 200_000].astype(np.int32))], names=["doc", "start", "windows"])
 
-    shipped = texts.mapInArrow(ship, "shard int, words binary, doc binary, start binary, windows binary")
+    shipped = texts.mapInArrow(ship, "shard int, texts binary, size binary, doc binary, start binary, windows binary")
     return shipped.groupBy("shard").applyInArrow(index, "doc long, start int, windows int")
 
 
 def repeated_windows(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """doc (id, null as NULL_ID), start, windows: all runs of windows that start earlier elsewhere."""
-    shards = shards or shards_for(docs, bytes_each=16 << 20)
-    first = first_contexts(docs, shards)
-    found = search_shards(docs, repeated_anchors(first), shards)
-    return _intervals(first.where("kind = 1")).unionByName(found)
+    shards = shards or shards_for(docs, bytes_each=8 << 20)
+    classes = docs.sparkSession.sparkContext.broadcast(gram_classes(docs))
+    suspects = suspect_contexts(docs, classes, shards)
+    found = search_shards(docs, suspects.where("not is_repeat"), classes, shards)
+    return suspects.where("is_repeat").select("doc", "start", "windows").unionByName(found)
 
 
 def drop_repeats(docs: DataFrame, shards: int | None = None, digest: bool = False) -> DataFrame:
