@@ -41,13 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.llm import arrowtext as at
+from reelstats.llm import rarity
 from reelstats.llm.components import connected_components
 from reelstats.llm.tables import NULL_ID, id_key, shards_for, written
 
 WORDS = 5
-COUNTERS = 1 << 18
-SEGMENTS = 8
-GROUP = 2048  # candidates of one query in a group
+GROUP_SHINGLES = 500_000  # shingles of the candidates in one group of a query
 
 
 def need(n):
@@ -89,54 +88,30 @@ def _signature(s: np.ndarray) -> int:
 
 def profile(docs: DataFrame) -> DataFrame:
     """Per document (kind 0): id, n, sig; per task and segment (kind 1): shingle counters. Written once."""
-    step = COUNTERS // SEGMENTS
+    names = ["kind", "id", "n", "sig", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "id", "n", "sig", "counts"]
-        table = np.zeros(COUNTERS, np.int64)
+        table = np.zeros(rarity.COUNTERS, np.uint32)
         for batch in batches:
             for part in at.chunks(batch, "text"):
                 sets = shingle_sets(part.column("text"))
-                flat = np.concatenate(sets)
-                table += np.bincount((flat & at.U64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                rarity.count(table, np.concatenate(sets))
                 n = len(sets)
                 yield pa.record_batch([
                     pa.array(np.zeros(n, np.int32)), part.column("_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_signature(s) for s in sets], pa.int64()), pa.nulls(n, pa.binary()),
                 ], names=names)
         if table.any():
+            n = rarity.SEGMENTS
             yield pa.record_batch([
-                pa.array(np.ones(SEGMENTS, np.int32)), pa.array(range(SEGMENTS), pa.int64()), pa.nulls(SEGMENTS, pa.int64()), pa.nulls(SEGMENTS, pa.int64()),
-                pa.array([table[i * step : (i + 1) * step].astype(np.uint32).tobytes() for i in range(SEGMENTS)], pa.binary()),
+                pa.array(np.ones(n, np.int32)), pa.array(range(n), pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                pa.array(rarity.packed(table), pa.binary()),
             ], names=names)
 
     rows = docs.select(id_key().cast("long").alias("_id"), "text").mapInArrow(run, "kind int, id long, n long, sig long, counts binary")
     return written(rows, "shingle-profile")
 
 
-def _frequency(rows: DataFrame) -> np.ndarray:
-    """Counter classes 0 to 65535, COUNTERS entries whatever the input."""
-    step = COUNTERS // SEGMENTS
-
-    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(step, np.int64)
-        for batch in batches:
-            for x in batch.column("counts"):
-                total += np.frombuffer(x.as_py(), np.uint32)
-        yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["id", "counts"])
-
-    out = np.zeros(COUNTERS, np.int64)
-    for r in rows.where("kind = 1").select("id", "counts").groupBy("id").applyInArrow(merge, "id long, counts binary").toLocalIterator():
-        out[r["id"] * step : (r["id"] + 1) * step] = np.frombuffer(r["counts"], np.int64)
-    # any order that all tasks share is right; classes of a 16th of a doubling keep it to 16 bits
-    return np.floor(np.log2(out + 1) * 1024).astype(at.U64)
-
-
-def _codes(s: np.ndarray, freq: np.ndarray) -> np.ndarray:
-    """Shingles as numbers that sort from rare to frequent."""
-    return (freq[(s & at.U64(COUNTERS - 1)).astype(np.int64)] << at.U64(48)) | (at.mix(s) >> at.U64(16))
-
-
 def blocks(docs: DataFrame, freq, shards: int) -> DataFrame:
     """(code, sig, n, centre): members of every block of two or more classes, with their star centre."""
 
@@ -150,7 +125,7 @@ def blocks(docs: DataFrame, freq, shards: int) -> DataFrame:
                         continue
                     seen.add(k)
                     p = len(s) - need(len(s)) + 1
-                    c = _codes(s, freq.value)
+                    c = rarity.codes(s, freq.value)
                     code.append(np.partition(c, p - 1)[:p] if p < len(c) else c)
                     sig.append(k)
                     size.append(len(s))
@@ -253,29 +228,36 @@ def candidate_sets(docs: DataFrame, members: DataFrame, classes: DataFrame) -> D
                     yield pa.record_batch([pa.array(want[ok]), pa.array([own[i].tobytes() for i in ok], pa.binary())], names=["sig", "set"])
 
     texts = docs.select(id_key().cast("long").alias("_id"), "text").join(wanted, "_id").select("sig", "text")
-    # rows that repeat a doc_id can give one set twice
-    return written(texts.mapInArrow(run, "sig long, set binary").dropDuplicates(["sig"]), "shingle-sets")
+    return written(texts.mapInArrow(run, "sig long, set binary"), "shingle-sets")
 
 
 def search(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v, overlap) of the pairs (u, v) of classes whose sets link. u is the query, its v are the candidates."""
-    degree = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("_d"))
-    groups = F.greatest(F.ceil(F.col("_d") / GROUP), F.lit(1)).cast("int")
-    dealt = pairs.join(degree, "u").select("u", "v", F.pmod(F.xxhash64("v"), groups).cast("int").alias("g"))
-    right = dealt.join(sets.select(F.col("sig").alias("v"), "set"), "v").select(F.col("u").alias("q"), F.col("g").alias("h"), "v", F.col("set").alias("other"))
-    left = degree.select("u", F.explode(F.sequence(F.lit(0), groups - 1)).alias("g")).join(sets.select(F.col("sig").alias("u"), "set"), "u").select(F.col("u").alias("u"), F.col("g").alias("g"), F.col("set").alias("set"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, ...] = ([], [], [])
-        if left.num_rows and right.num_rows:
-            query = np.frombuffer(left.column("set")[0].as_py(), at.U64)
-            others = [np.frombuffer(x.as_py(), at.U64) for x in right.column("other")]
-            found, n = divide_skip(query, others)
-            v = right.column("v").to_numpy()
-            out = ([left.column("u")[0].as_py()] * len(found), v[found], n)
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], names=["u", "v", "overlap"])
-
-    return left.groupBy("u", "g").cogroup(right.groupBy("q", "h")).applyInArrow(run, "u long, v long, overlap long")
+    """(u, v, overlap) of the pairs (u, v, vn) of classes whose sets link. u is the query, its v are the candidates, of vn shingles.
+
+    Every set goes from its file straight to the groups that ask for it.
+    """
+    degree = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("_d"), F.max("vn").alias("_n"))
+    degree = degree.select("u", F.greatest(F.ceil(F.col("_d") * F.col("_n") / GROUP_SHINGLES), F.lit(1)).cast("int").alias("_groups"))
+    dealt = pairs.join(degree, "u").select(F.col("v").alias("sig"), "u", F.pmod(F.xxhash64("v"), F.col("_groups")).cast("int").alias("g"), F.lit(False).alias("is_query"))
+    asking = degree.select(F.col("u").alias("sig"), "u", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("g"), F.lit(True).alias("is_query"))
+    rows = sets.join(dealt.unionByName(asking), "sig").select("u", "g", "is_query", "sig", "set")
+
+    def run(table: pa.Table) -> pa.Table:
+        query = table.column("is_query").to_numpy()
+        all_sets = [np.frombuffer(x.as_py(), at.U64) for x in table.column("set")]
+        sig = table.column("sig").to_numpy()
+        out: tuple = (np.zeros(0, np.int64),) * 2
+        # rows that repeat a doc_id can bring a set twice
+        others = np.flatnonzero(~query)
+        if query.any() and len(others):
+            _, once = np.unique(sig[others], return_index=True)
+            others = others[once]
+            found, n = divide_skip(all_sets[int(np.flatnonzero(query)[0])], [all_sets[i] for i in others.tolist()])
+            out = (sig[others[found]], n)
+        u = np.full(len(out[0]), table.column("u")[0].as_py(), np.int64)
+        return pa.table([pa.array(u), pa.array(out[0]), pa.array(out[1])], names=["u", "v", "overlap"])
+
+    return rows.groupBy("u", "g").applyInArrow(run, "u long, v long, overlap long")
 
 
 def class_links(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -284,10 +266,11 @@ def class_links(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame,
     rows = profile(docs)
     documents = rows.where("kind = 0").select("id", "n", "sig")
     classes = documents.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
-    freq = docs.sparkSession.sparkContext.broadcast(_frequency(rows))
+    counters = rows.where("kind = 1").select(F.col("id").alias("segment"), "counts")
+    freq = docs.sparkSession.sparkContext.broadcast(rarity.merged(counters))
     members = written(blocks(docs, freq, shards), "blocks")
     sets = candidate_sets(docs, members, classes)
-    stars = members.where("sig <> centre").select(F.col("centre").alias("u"), F.col("sig").alias("v")).distinct()
+    stars = members.where("sig <> centre").select(F.col("centre").alias("u"), F.col("sig").alias("v"), F.col("n").alias("vn")).distinct()
     links = written(search(stars, sets), "star-links")
     roots = connected_components(links)
     # blocks that still hold several components
@@ -298,8 +281,8 @@ def class_links(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame,
     b = left.select("code", F.col("sig").alias("v"), F.col("n").alias("vn"), F.col("root").alias("vr"))
     rest = (
         a.join(b, "code").where("ur <> vr and (un < vn or (un = vn and u < v)) and 5 * un >= 4 * vn")
-        .select("u", "v").distinct()
-        .join(stars, ["u", "v"], "left_anti")  # searched before and not linked
+        .select("u", "v", "vn").distinct()
+        .join(stars.select("u", "v"), ["u", "v"], "left_anti")  # searched before and not linked
     )
     more = written(search(rest, sets), "rest-links")
     roots = connected_components(links.select("u", "v").union(more.select("u", "v")))
