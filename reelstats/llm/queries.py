@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelstats.llm import (
     fm_dedup,
+    html_extract,
     line_dedup,
     mixing,
     ngram_join,
@@ -29,6 +30,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID_FILES)
@@ -69,7 +74,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
+    op1_html_extraction, op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
     op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing,
 )}
 
