@@ -7,23 +7,25 @@ their overlap reaches T = ceil(4 (|a| + |b|) / 9).
 
 1. Classes. Documents with equal sets are one class (64-bit set signature).
 2. Candidates. All shingles of all documents are counted in a fixed-size table
-   of counters, which orders shingles from rare to frequent. By that order the
-   first n - ceil(0.8 n) + 1 shingles of a set are its prefix, and two sets that
-   link share a prefix shingle. Prefix postings travel as packed arrays, one row
-   per task and shard, and one per class in a task. Classes that share a prefix
-   shingle are a block.
-3. Stars. In a block sorted by set size, the first class and then the first one
-   out of its size range are centres; every class is paired with its centre.
-   That is linear in the block, and joins nearly all of a group of near copies.
-4. Rest. Components of the links found so far are computed, and in each block
-   only pairs from different components are still candidates; their search
-   completes the link graph's components exactly. No links but those inside one
-   known component are left out.
-5. T-occurrence search (DivideSkip). For a query set, inverted lists of its
-   shingles over the candidates: the L longest are set aside, the short ones are
-   merged and counted, candidates with T - L or more are binary-probed in the
-   long lists, and those reaching T are links. A query's candidates are dealt to
-   groups of bounded size.
+   of counters, which orders shingles from rare to frequent. By that order two
+   sets that link share at least l of the first n - ceil(0.8 n) + l shingles of
+   each, for any l; here l = 1 + n // 20, of the smaller set. These prefixes
+   travel as packed arrays, one row per task and shard, and one per class in a
+   task. Classes that share a prefix shingle are a block; a class that shares
+   fewer than l of its prefix shingles with any others links with nothing.
+3. Homes. A class's home is the largest block around it, so that a group of near
+   copies gets one home. A home is dealt to pieces of bounded size. Candidates of
+   one home are searched inside each piece and against the home's first piece:
+   work linear in the pieces. Candidates with different homes are listed as pairs.
+4. Rest. Components of the links found so far are computed; pairs of further
+   pieces of a home are searched unless all their classes are in one component
+   already. Links inside a known component may be left out, no others, so the
+   components are exact.
+5. T-occurrence search (DivideSkip). For a query set, of the inverted lists of
+   its shingles the L longest are set aside, the short ones are merged and
+   counted, candidates with T - L or more are binary-probed in the long lists,
+   and those reaching T are links. A query's candidates are dealt to groups of
+   bounded size.
 
 Defined cases: null texts are empty; rows with a null doc_id rank before all
 ids; rows that repeat a doc_id are judged by their own texts; an empty table
@@ -46,7 +48,8 @@ from reelstats.llm.components import connected_components
 from reelstats.llm.tables import NULL_ID, id_key, shards_for, written
 
 WORDS = 5
-GROUP_SHINGLES = 500_000  # shingles of the candidates in one group of a query
+GROUP_SHINGLES = 500_000  # shingles of the candidates in one group of a query, or of one piece of a home
+LARGE_BLOCK = 8
 
 
 def need(n):
@@ -59,6 +62,11 @@ def overlap(a, b):
     return (4 * (a + b) + 8) // 9
 
 
+def extra(n):
+    """Prefix shingles that a set of n shares at least, with a set no smaller."""
+    return 1 + n // 20
+
+
 def shingle_sets(arr: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     buf, off = at.utf8(arr)
@@ -113,7 +121,7 @@ def profile(docs: DataFrame) -> DataFrame:
 
 
 def blocks(docs: DataFrame, freq, shards: int) -> DataFrame:
-    """(code, sig, n, centre): members of every block of two or more classes, with their star centre."""
+    """(code, sig, n, members): the classes of every block of two or more, with its size."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -124,7 +132,7 @@ def blocks(docs: DataFrame, freq, shards: int) -> DataFrame:
                     if not len(s) or (k := _signature(s)) in seen:
                         continue
                     seen.add(k)
-                    p = len(s) - need(len(s)) + 1
+                    p = min(len(s) - need(len(s)) + extra(len(s)), len(s))
                     c = rarity.codes(s, freq.value)
                     code.append(np.partition(c, p - 1)[:p] if p < len(c) else c)
                     sig.append(k)
@@ -160,132 +168,202 @@ def blocks(docs: DataFrame, freq, shards: int) -> DataFrame:
         code, sig, n = code[fresh], sig[fresh], n[fresh]
         begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
         size = np.diff(np.concatenate([begin, [len(code)]]))
-        centre = sig.copy()
-        for a, m in zip(begin[size > 1].tolist(), size[size > 1].tolist()):
-            c = a
-            while c < a + m:
-                # sizes within reach of the centre's: 0.8 n <= its size
-                to = a + int(np.searchsorted(n[a : a + m], n[c] * 5 // 4, side="right"))
-                centre[c:to] = sig[c]
-                c = max(to, c + 1)
-        keep = np.repeat(size > 1, size)
-        step = 100_000
-        idx = np.flatnonzero(keep)
-        for a in range(0, len(idx), step):
-            i = idx[a : a + step]
-            yield pa.record_batch([pa.array(code[i].view(np.int64)), pa.array(sig[i]), pa.array(n[i].astype(np.int64)), pa.array(centre[i])], names=["code", "sig", "n", "centre"])
+        members = np.repeat(size, size)
+        keep = np.flatnonzero(members > 1)
+        for a in range(0, len(keep), 100_000):
+            i = keep[a : a + 100_000]
+            yield pa.record_batch([
+                pa.array(code[i].view(np.int64)), pa.array(sig[i]), pa.array(n[i].astype(np.int64)), pa.array(members[i]),
+            ], names=["code", "sig", "n", "members"])
 
     packed = docs.select("text").mapInArrow(post, "shard int, code binary, sig binary, n binary")
-    return packed.groupBy("shard").applyInArrow(meet, "code long, sig long, n long, centre long")
-
-
-def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(index, overlap) of the sets that link with the query set."""
-    size = np.array([len(s) for s in sets], np.int64)
-    t = overlap(len(query), size)
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    at_ = np.minimum(np.searchsorted(query, flat), len(query) - 1)
-    hit = query[at_] == flat
-    token, owner = at_[hit], owner[hit]
-    # inverted lists: owners by token, ascending
-    order = np.argsort(token, kind="stable")
-    token, owner = token[order], owner[order]
-    length = np.bincount(token, minlength=len(query))
-    begin = np.cumsum(length) - length
-    longest = int(length.max(initial=0))
-    n_long = int(min(len(query), t.min() / (0.0085 * np.log2(max(longest, 2)) * 64 + 1)))
-    by_length = np.argsort(length, kind="stable")
-    long_lists = by_length[len(query) - n_long :]
-    in_long = np.zeros(len(query), bool)
-    in_long[long_lists] = True
-    # merge the short lists
-    count = np.bincount(owner[~in_long[token]], minlength=len(sets))
-    alive = np.flatnonzero(count >= t - n_long)
-    # binary-probe the long ones
-    for k in long_lists[::-1]:
-        if not len(alive):
-            break
-        own = owner[begin[k] : begin[k] + length[k]]
-        if len(own):
+    return packed.groupBy("shard").applyInArrow(meet, "code long, sig long, n long, members long")
+
+
+class ListIndex:
+    """Inverted lists of a few sets, searched for the sets that link with a query set."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.token, self.begin = np.unique(flat[order], return_index=True)
+        self.length = np.diff(np.append(self.begin, len(flat)))
+
+    def search(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index, overlap) of the linked sets, by DivideSkip."""
+        t = overlap(len(query), self.size)
+        at_ = np.minimum(np.searchsorted(self.token, query), len(self.token) - 1)
+        lists = at_[self.token[at_] == query]
+        if not len(lists):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lists = lists[np.argsort(self.length[lists], kind="stable")]
+        longest = int(self.length[lists[-1]])
+        n_long = int(min(len(lists), max(0, t.min()) / (0.5 * np.log2(max(longest, 2)) + 1)))
+        short, long_ = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
+        # merge the short lists and count
+        count = np.bincount(self.owner[at.flat(self.begin[short], self.length[short])], minlength=len(self.size))
+        alive = np.flatnonzero(count >= np.maximum(t - n_long, 0))
+        # binary-probe the long ones, dropping what can no longer reach its threshold
+        for k, b in enumerate(long_[::-1].tolist()):
+            if not len(alive):
+                break
+            own = self.owner[self.begin[b] : self.begin[b] + self.length[b]]
             p = np.minimum(np.searchsorted(own, alive), len(own) - 1)
             count[alive] += own[p] == alive
-    alive = alive[count[alive] >= t[alive]]
-    return alive, count[alive]
+            alive = alive[count[alive] + (n_long - k - 1) >= t[alive]]
+        alive = alive[count[alive] >= t[alive]]
+        return alive, count[alive]
 
 
-def candidate_sets(docs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
-    """(sig, set): the whole shingle sets of all classes in blocks, from one document each. Written once."""
-    wanted = members.select("sig").distinct().join(classes, "sig").select(F.col("rep").alias("_id"), "sig")
+def _prune(members: DataFrame) -> DataFrame:
+    """The blocks without classes that share too few prefix shingles to link with any other."""
+    enough = members.groupBy("sig", "n").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= 1 + F.expr("((4 * n + 4) div 5) div 20")).select("sig")
+    left = members.drop("members").join(enough, "sig")
+    return left.join(left.groupBy("code").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "code")
+
+
+def _homes(members: DataFrame) -> DataFrame:
+    """sig, n, home: a class's largest block, or a larger home of the classes it shares blocks with.
+
+    Any labels give right results; these keep a group of near copies together.
+    """
+    home = members.groupBy("sig", "n").agg(F.max(F.struct("members", "code")).alias("_h"))
+    large = members.where(F.col("members") >= LARGE_BLOCK).select("code", "sig", "n")
+    for _ in range(2):
+        of_block = large.join(home, ["sig", "n"]).groupBy("code").agg(F.max("_h").alias("_h"))
+        reached = large.join(of_block, "code").groupBy("sig", "n").agg(F.max("_h").alias("_h"))
+        home = home.unionByName(reached).groupBy("sig", "n").agg(F.max("_h").alias("_h"))
+    return home.select("sig", "n", F.col("_h.code").alias("home"))
+
+
+def _pieces(homes: DataFrame) -> DataFrame:
+    """homes plus the piece of each class; homes of a single class are left out."""
+    size = homes.groupBy("home").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    size = size.select("home", F.ceil(F.col("_n") / GROUP_SHINGLES).cast("int").alias("_pieces"))
+    return homes.join(size, "home").withColumn("piece", F.pmod(F.xxhash64("sig"), F.col("_pieces")).cast("int")).drop("_pieces")
+
+
+def _first_targets(placed: DataFrame, across: DataFrame) -> DataFrame:
+    """sig, target of every set to be shipped: its own piece, piece 0 with each other piece, and listed pairs."""
+    pieces = placed.select("home", "piece").distinct()
+    own = placed.select("sig", F.struct(F.lit(0).alias("kind"), F.col("home").alias("k1"), F.col("piece").alias("k2"), F.col("piece").alias("k3"), F.lit(False).alias("is_query"), F.col("sig").alias("root")).alias("target"))
+    later = pieces.where("piece > 0").withColumnRenamed("piece", "other")
+    with_zero = placed.join(later, "home").where("piece = 0 or piece = other")
+    zero = with_zero.select("sig", F.struct(F.lit(0).alias("kind"), F.col("home").alias("k1"), F.lit(0).alias("k2"), F.col("other").alias("k3"), F.lit(False).alias("is_query"), F.col("sig").alias("root")).alias("target"))
+    degree = across.groupBy("u").agg(F.count(F.lit(1)).alias("_d"), F.max("vn").alias("_n"))
+    degree = degree.select("u", F.greatest(F.ceil(F.col("_d") * F.col("_n") / GROUP_SHINGLES), F.lit(1)).cast("int").alias("_groups"))
+    dealt = across.join(degree, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("_groups")).cast("int").alias("g"))
+    pair = lambda sig, query: F.struct(F.lit(1).alias("kind"), F.col("u").alias("k1"), F.col("g").alias("k2"), F.lit(0).alias("k3"), F.lit(query).alias("is_query"), F.col(sig).alias("root")).alias("target")
+    return (
+        own.unionByName(zero)
+        .unionByName(dealt.select(F.col("v").alias("sig"), pair("v", False)))
+        .unionByName(degree.withColumn("g", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).select(F.col("u").alias("sig"), pair("u", True)))
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in at.chunks(batch, "text"):
-                sets = shingle_sets(part.column("text"))
-                want = part.column("sig").to_numpy()
-                own = [s if _signature(s) == k else None for s, k in zip(sets, want.tolist())]
-                ok = [i for i, s in enumerate(own) if s is not None]
-                if ok:
-                    yield pa.record_batch([pa.array(want[ok]), pa.array([own[i].tobytes() for i in ok], pa.binary())], names=["sig", "set"])
 
-    texts = docs.select(id_key().cast("long").alias("_id"), "text").join(wanted, "_id").select("sig", "text")
-    return written(texts.mapInArrow(run, "sig long, set binary"), "shingle-sets")
+def _rest_targets(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """sig, target for the pairs of pieces that the first targets leave out and that aren't in one component."""
+    labelled = placed.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    edge = labelled.where("piece > 0").groupBy("home", "piece").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    a = edge.select("home", F.col("piece").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
+    b = edge.select(F.col("home").alias("h"), F.col("piece").alias("b"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
+    tasks = a.join(b, (F.col("home") == F.col("h")) & (F.col("a") < F.col("b"))).where("least(alo, blo) <> greatest(ahi, bhi)")
+    asked = tasks.select("home", "a", "b", F.explode(F.array("a", "b")).alias("piece"))
+    return labelled.join(asked, ["home", "piece"]).select(
+        "sig", F.struct(F.lit(0).alias("kind"), F.col("home").alias("k1"), F.col("a").alias("k2"), F.col("b").alias("k3"), F.lit(False).alias("is_query"), "root").alias("target")
+    )
 
 
-def search(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v, overlap) of the pairs (u, v, vn) of classes whose sets link. u is the query, its v are the candidates, of vn shingles.
+def search(docs: DataFrame, classes: DataFrame, targets: DataFrame) -> DataFrame:
+    """(u, v, overlap): links found by T-occurrence search in the groups that the targets ask for.
 
-    Every set goes from its file straight to the groups that ask for it.
+    The texts of the classes asked for are shuffled once; each set goes from
+    there straight to its groups.
     """
-    degree = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("_d"), F.max("vn").alias("_n"))
-    degree = degree.select("u", F.greatest(F.ceil(F.col("_d") * F.col("_n") / GROUP_SHINGLES), F.lit(1)).cast("int").alias("_groups"))
-    dealt = pairs.join(degree, "u").select(F.col("v").alias("sig"), "u", F.pmod(F.xxhash64("v"), F.col("_groups")).cast("int").alias("g"), F.lit(False).alias("is_query"))
-    asking = degree.select(F.col("u").alias("sig"), "u", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("g"), F.lit(True).alias("is_query"))
-    rows = sets.join(dealt.unionByName(asking), "sig").select("u", "g", "is_query", "sig", "set")
+    wanted = targets.groupBy("sig").agg(F.collect_list("target").alias("targets")).join(classes, "sig").select(F.col("rep").alias("_id"), "sig", "targets")
+    texts = docs.select(id_key().cast("long").alias("_id"), "text").join(wanted, "_id").select("sig", "text", "targets")
+    fields = ["kind", "k1", "k2", "k3", "is_query", "root"]
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in at.chunks(batch, "text"):
+                sets = shingle_sets(part.column("text"))
+                sig = part.column("sig").to_numpy()
+                spans = part.column("targets")
+                off = spans.offsets.to_numpy()
+                flat = spans.values.slice(off[0], off[-1] - off[0])
+                row = at.rows_of(np.diff(off))
+                # rows that share a doc_id: only the text of the class counts
+                right = np.array([_signature(s) == k for s, k in zip(sets, sig.tolist())], bool)
+                take = np.flatnonzero(right[row])
+                for a in range(0, len(take), 500):
+                    i = take[a : a + 500]
+                    yield pa.record_batch(
+                        [flat.field(f).take(pa.array(i)) for f in fields] + [pa.array(sig[row[i]]), pa.array([sets[k].tobytes() for k in row[i].tolist()], pa.binary())],
+                        names=[*fields, "sig", "set"],
+                    )
 
     def run(table: pa.Table) -> pa.Table:
-        query = table.column("is_query").to_numpy()
-        all_sets = [np.frombuffer(x.as_py(), at.U64) for x in table.column("set")]
-        sig = table.column("sig").to_numpy()
-        out: tuple = (np.zeros(0, np.int64),) * 2
-        # rows that repeat a doc_id can bring a set twice
-        others = np.flatnonzero(~query)
-        if query.any() and len(others):
-            _, once = np.unique(sig[others], return_index=True)
-            others = others[once]
-            found, n = divide_skip(all_sets[int(np.flatnonzero(query)[0])], [all_sets[i] for i in others.tolist()])
-            out = (sig[others[found]], n)
-        u = np.full(len(out[0]), table.column("u")[0].as_py(), np.int64)
-        return pa.table([pa.array(u), pa.array(out[0]), pa.array(out[1])], names=["u", "v", "overlap"])
-
-    return rows.groupBy("u", "g").applyInArrow(run, "u long, v long, overlap long")
+        sig, once = np.unique(table.column("sig").to_numpy(), return_index=True)
+        raw = table.column("set")
+        own = [np.frombuffer(raw[int(i)].as_py(), at.U64) for i in once]
+        names, number = np.unique(table.column("root").to_numpy()[once], return_inverse=True)
+        if table.column("kind")[0].as_py() == 0:
+            # links inside the component that most belong to aren't looked for
+            common = int(np.bincount(number).argmax()) if len(names) < len(sig) else -1
+            queries = np.flatnonzero(number != common).tolist()
+        else:
+            queries = np.flatnonzero(table.column("is_query").to_numpy()[once]).tolist()
+        index = ListIndex(own)
+        parent = list(range(len(names)))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out: list[tuple[int, int, int]] = []
+        for q in queries:
+            for i, n in zip(*(x.tolist() for x in index.search(own[q]))):
+                a, b = top(int(number[q])), top(int(number[i]))
+                if a != b:  # one link joins them; more between them say nothing new
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(sig[q]), int(sig[i]), n))
+        cols = list(zip(*out)) or [(), (), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["u", "v", "overlap"])
+
+    shipped = texts.mapInArrow(ship, "kind int, k1 long, k2 int, k3 int, is_query boolean, root long, sig long, set binary")
+    return shipped.groupBy("kind", "k1", "k2", "k3").applyInArrow(run, "u long, v long, overlap long")
 
 
 def class_links(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents: id, n, sig), (classes: sig, rep, n), (component roots: node, root) over class signatures."""
+    """(documents: id, n, sig), (classes: sig, rep), (component roots: node, root) over class signatures."""
     shards = shards or shards_for(docs, bytes_each=32 << 20)
     rows = profile(docs)
     documents = rows.where("kind = 0").select("id", "n", "sig")
-    classes = documents.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+    classes = documents.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"))
     counters = rows.where("kind = 1").select(F.col("id").alias("segment"), "counts")
     freq = docs.sparkSession.sparkContext.broadcast(rarity.merged(counters))
-    members = written(blocks(docs, freq, shards), "blocks")
-    sets = candidate_sets(docs, members, classes)
-    stars = members.where("sig <> centre").select(F.col("centre").alias("u"), F.col("sig").alias("v"), F.col("n").alias("vn")).distinct()
-    links = written(search(stars, sets), "star-links")
-    roots = connected_components(links)
-    # blocks that still hold several components
-    labelled = members.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("code", "sig", "n", F.coalesce("root", "sig").alias("root"))
-    mixed = labelled.groupBy("code").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("code")
-    left = written(labelled.join(mixed, "code"), "mixed-blocks")
-    a = left.select("code", F.col("sig").alias("u"), F.col("n").alias("un"), F.col("root").alias("ur"))
-    b = left.select("code", F.col("sig").alias("v"), F.col("n").alias("vn"), F.col("root").alias("vr"))
-    rest = (
-        a.join(b, "code").where("ur <> vr and (un < vn or (un = vn and u < v)) and 5 * un >= 4 * vn")
+    members = written(_prune(written(blocks(docs, freq, shards), "blocks")), "pruned")
+    placed = written(_homes(members), "homes")
+    at_home = members.join(placed.select("sig", "home"), "sig")
+    a = at_home.select("code", F.col("sig").alias("u"), F.col("n").alias("un"), F.col("home").alias("uh"))
+    b = at_home.select("code", F.col("sig").alias("v"), F.col("n").alias("vn"), F.col("home").alias("vh"))
+    across = (
+        a.join(b, "code").where("uh <> vh and (un < vn or (un = vn and u < v)) and 5 * un >= 4 * vn")
         .select("u", "v", "vn").distinct()
-        .join(stars.select("u", "v"), ["u", "v"], "left_anti")  # searched before and not linked
     )
-    more = written(search(rest, sets), "rest-links")
-    roots = connected_components(links.select("u", "v").union(more.select("u", "v")))
+    placed = written(_pieces(placed), "pieces")
+    links = written(search(docs, classes, _first_targets(placed, written(across, "pairs"))), "links")
+    roots = connected_components(links)
+    rest = written(_rest_targets(placed, roots), "rest")
+    if not rest.isEmpty():
+        more = written(search(docs, classes, rest), "rest-links")
+        roots = connected_components(links.select("u", "v").union(more.select("u", "v")))
     return documents, classes, roots
 
 
