@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
@@ -25,11 +25,23 @@ _P_INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 
 
+def _release() -> None:
+    """Gives memory that earlier batches and tasks of this Python worker freed back to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with at most max_bytes of text each (a longer text stands alone)."""
     n = batch.num_rows
     if not n:
         return
+    _release()
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < n:

@@ -62,9 +62,9 @@ def _tokens(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     row = at.rows_of(counts)
 
     def count(lo: int, hi: int) -> np.ndarray:
-        flag = np.zeros(256, np.int32)
+        flag = np.zeros(256, np.uint8)
         flag[lo:hi] = 1
-        return np.add.reduceat(flag[buf], start)  # the bytes after a word are white space
+        return np.add.reduceat(flag[buf], start, dtype=np.int32)  # the bytes after a word are white space
 
     size = end - start
     upper, lower, digit, high = count(65, 91), count(97, 123), count(48, 58), count(128, 256)
@@ -96,7 +96,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
         place, sign = _index_vectors()
         table = np.zeros(n_rows * DIMS)
         for batch in batches:
-            for part in at.chunks(batch, "text", 4 << 20):
+            for part in at.chunks(batch, "text"):
                 word, shape, counts = _tokens(part.column("text"))
                 row = at.rows_of(counts)
                 if len(row) < 2:
@@ -106,7 +106,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
                     a, b = seq[:-1][near], seq[1:][near]
                     for x, y in ((a, b), (b, a)):
                         for k in range(NONZERO):
-                            table += np.bincount(x * DIMS + place[y, k], weights=sign[y, k], minlength=len(table))
+                            np.add.at(table, x * DIMS + place[y, k], sign[y, k])
         if table.any():
             yield pa.record_batch([pa.array(range(SEGMENTS), pa.int32()), pa.array([table[s * step : (s + 1) * step].astype(np.float32).tobytes() for s in range(SEGMENTS)], pa.binary())], names=["segment", "part"])
 
@@ -148,7 +148,7 @@ def document_vectors(docs: DataFrame, table, extra: str = "") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in at.chunks(batch, "text", 4 << 20):
+            for part in at.chunks(batch, "text"):
                 x = pooled(part.column("text"), table.value)
                 cols, names = [part.column("doc_id"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))], ["doc_id", "vector"]
                 if extra:
@@ -238,7 +238,7 @@ def _with_score(docs: DataFrame, model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in at.chunks(batch, "text", 4 << 20):
+            for part in at.chunks(batch, "text"):
                 score = net.value.score(pooled(part.column("text"), table.value))
                 yield pa.record_batch([*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "_quality_score"])
 

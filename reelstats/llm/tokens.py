@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from reelstats.llm import arrowtext as at
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_200_000
 CHUNK_BYTES = 3 << 20
 #: White space in Unicode beyond ASCII, and the control characters some engines count as such.
 OTHER_SPACE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u001c-\u001f]"
