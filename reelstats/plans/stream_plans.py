@@ -58,7 +58,7 @@ def stream_decode_events(spark, sf_dir):
 def stream_recommendations(spark, sf_dir):
     """Per micro-batch: top-5 for each distinct known user, written per batch id."""
     out = scratch_path(spark, "recs")
-    handler = recommendation_batch_handler(model_for(spark, sf_dir), parquet_batch_writer(f"{out}/data"),
+    handler = recommendation_batch_handler(model_for(spark, sf_dir), parquet_batch_writer(f"{out}/data", f"{out}/_ckpt"),
                                            STREAM_K)
     q = runner.start_foreach_batch(_decoded_stream(spark, sf_dir), handler, f"{out}/_ckpt",
                                    trigger=AVAILABLE_NOW)

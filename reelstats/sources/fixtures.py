@@ -76,11 +76,9 @@ def rating_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None =
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The `events` table as a file stream (a single parquet file needs its directory)."""
-    schema = read_table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(sf_dir)
-    )
+    """The `events` table as a file stream: a folder of part files, or one file by way of its directory."""
+    table = read_table(spark, sf_dir, "events")
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    if all(f.rstrip("/").endswith("/events.parquet") for f in table.inputFiles()):
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/events.parquet")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALSModel
@@ -23,15 +24,20 @@ def batch_recommendations(model: ALSModel, batch: DataFrame, batch_id: int, k: i
     )
 
 
-def parquet_batch_writer(path: str) -> Callable[[DataFrame], None]:
-    """Writes each batch into its own `batch_id=` folder, replacing only that
-    folder: a retried batch overwrites its first attempt instead of adding rows."""
+def parquet_batch_writer(path: str, run: str) -> Callable[[DataFrame], None]:
+    """Writes each batch into its own `run_id=/batch_id=` folder, replacing only that
+    folder: a retried batch overwrites its first attempt instead of adding rows.
+
+    `run` names what numbers the batches, the stream's checkpoint location: batch
+    ids start at 0 with each new one, and stay the same when a stream restarts.
+    """
+    run_id = hashlib.md5(run.encode()).hexdigest()[:16]
 
     def write(df: DataFrame) -> None:
         (
-            df.write.mode("overwrite")
+            df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("run_id", "batch_id")
             .parquet(path)
         )
 

@@ -76,7 +76,7 @@ def poll_progress(query: StreamingQuery, interval_s: float = 5.0,
                   on_progress: Callable[[dict], None] = print, max_polls: int | None = None) -> int:
     """Driver-side monitor: while the query runs, report its latest progress
     (batch id, input rows, processed rows per second) every `interval_s`.
-    Returns the number of reports made."""
+    Returns the number of reports made; a failed stream's exception is raised."""
     polls = reports = 0
     while query.isActive and (max_polls is None or polls < max_polls):
         p = query.lastProgress
@@ -86,6 +86,8 @@ def poll_progress(query: StreamingQuery, interval_s: float = 5.0,
             reports += 1
         polls += 1
         time.sleep(interval_s)
+    if query.exception() is not None:
+        raise query.exception()
     return reports
 
 

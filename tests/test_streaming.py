@@ -88,21 +88,22 @@ class _Model:
 def test_batch_handler_is_idempotent_and_skips_empty(spark):
     out = _tmp()
     model = _Model(spark, known=[1, 2])
-    handler = recommendation_batch_handler(model, parquet_batch_writer(out), k=5)
+    handler = recommendation_batch_handler(model, parquet_batch_writer(out, "run"), k=5)
     batch = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (3, 8), (None, 9)], "userId int, movieId int")
     handler(batch, 0)
     handler(batch, 0)  # a retried batch replaces its own partition
     handler(batch.where("userId < 0"), 1)  # empty: nothing written
     recs = spark.read.parquet(out)
     assert recs.count() == 10
-    assert [d for d in os.listdir(out) if d.startswith("batch_id=")] == ["batch_id=0"]
+    (run,) = [d for d in os.listdir(out) if d.startswith("run_id=")]
+    assert [d for d in os.listdir(f"{out}/{run}") if d.startswith("batch_id=")] == ["batch_id=0"]
 
 
 def test_failing_sink_is_retried_not_lost(spark):
     out, ckpt = _tmp(), _tmp()
     model = _Model(spark, known=list(range(200)))
     state = {"fail": True}
-    write_ok = parquet_batch_writer(out)
+    write_ok = parquet_batch_writer(out, "run")
 
     def flaky(df):
         if state["fail"]:
@@ -154,3 +155,33 @@ def test_poll_progress_reports_while_running(spark):
     finally:
         runner.stop(q)
     assert not q.isActive
+
+
+def test_batch_writer_keeps_both_runs_and_does_not_double_a_retry(spark, tmp_path):
+    out = str(tmp_path / "recs")
+    batch = spark.createDataFrame([(1, 0), (2, 0)], "userId int, batch_id long")
+    for run in ("a", "b", "b"):
+        parquet_batch_writer(out, run)(batch)
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_events_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    from reelstats.sources import fixtures
+
+    events = spark.read.parquet(f"{SMALL_SF_DIR}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "sf/events.parquet"))
+    q = runner.start_sink(fixtures.events_stream(spark, str(tmp_path / "sf")), "parquet", checkpoint=str(tmp_path / "c"),
+                          path=str(tmp_path / "o"), trigger={"availableNow": True})
+    runner.drain(q)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == events.count()
+
+
+def test_poll_progress_raises_for_a_failed_stream(spark, tmp_path):
+    from reelstats.sources import fixtures
+
+    def fail(batch, batch_id):
+        raise ValueError("broken handler")
+
+    q = runner.start_foreach_batch(fixtures.events_stream(spark, SMALL_SF_DIR), fail, str(tmp_path / "c"), trigger={"processingTime": "0 seconds"})
+    with pytest.raises(Exception, match="broken handler"):
+        runner.poll_progress(q, 0.1)
