@@ -99,11 +99,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     kept = process_cache("powers")
     if len(kept.get("up", ())) >= n:
         return kept["up"][:n], kept["down"][:n]
-    up, down = np.full(max(n, CHUNK_BYTES + 1), _P, U64), np.full(max(n, CHUNK_BYTES + 1), _P_INV, U64)
+    size = -(-n // CHUNK_BYTES) * CHUNK_BYTES
+    up, down = np.full(size, _P, U64), np.full(size, _P_INV, U64)
     up[0] = down[0] = 1
     np.cumprod(up, out=up)
     np.cumprod(down, out=down)
-    if n <= 2 * CHUNK_BYTES:
+    if size <= 4 * CHUNK_BYTES:
         kept["up"], kept["down"] = up, down
     return up[:n], down[:n]
 
