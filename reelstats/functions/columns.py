@@ -88,3 +88,10 @@ def present(fields: list[T.StructField]) -> Column:
 def json_value(*cols: str) -> Column:
     """One JSON document per row, as a message value."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
+
+
+def epoch_seconds(col: str) -> Column:
+    """Seconds since 1970 of a time without zone, taken as UTC whatever the session's zone."""
+    c = F.col(col)
+    days = F.unix_date(F.to_date(c)).cast("long")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)

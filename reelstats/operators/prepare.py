@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.functions.columns import date_parts, genre_count, present, title_year
-from reelstats.operators.joins import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT_KEYS, salted_join
+from reelstats.operators.joins import DEFAULT_HOT_ROWS, salted_join
 from reelstats.schemas import ENRICHED_COLUMNS
 
 DEFAULT_MIN_MOVIE_RATINGS = 10
@@ -103,14 +103,13 @@ def user_rating_stats(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_active_users(ratings: DataFrame, min_ratings: int = DEFAULT_MIN_USER_RATINGS,
-                         keep_user_avg: bool = False, hot_rows: int = DEFAULT_HOT_ROWS,
-                         max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                         keep_user_avg: bool = False, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Ratings of users with at least `min_ratings` ratings, with `user_rating_count`."""
     stats = user_rating_stats(ratings).where(F.col("user_rating_count") >= min_ratings)
     if not keep_user_avg:
         stats = stats.drop("user_avg_rating")
     return salted_join(ratings, stats, "userId", "inner", count_col="user_rating_count",
-                       hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["movieId"])
+                       hot_rows=hot_rows, salt_cols=["movieId"])
 
 
 def movie_stats(ratings: DataFrame) -> DataFrame:
@@ -154,7 +153,6 @@ def enriched_ratings(
     min_user_ratings: int = DEFAULT_MIN_USER_RATINGS,
     require_year: bool = True,
     hot_rows: int = DEFAULT_HOT_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
 ) -> DataFrame:
     """Clean ratings of active users with movie attributes and per-key statistics.
 
@@ -171,7 +169,7 @@ def enriched_ratings(
 
     users = user_rating_stats(clean).where(F.col("user_rating_count") >= min_user_ratings)
     active = salted_join(clean, users, "userId", "inner", count_col="user_rating_count",
-                         hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["movieId"])
+                         hot_rows=hot_rows, salt_cols=["movieId"])
 
     kept_movies = movie_catalogue(clean, movies, min_movie_ratings, require_year)
 
@@ -179,7 +177,7 @@ def enriched_ratings(
 
     # date parts are derived after the joins so the shuffles carry 4 columns less
     joined = salted_join(active, per_movie, "movieId", "left", count_col="num_ratings",
-                         hot_rows=hot_rows, max_hot_keys=max_hot_keys, salt_cols=["userId"])
+                         hot_rows=hot_rows, salt_cols=["userId"])
     return rating_date_parts(joined).select(
         *[
             F.col("user_rating_count").alias("user_total_ratings")

@@ -4,8 +4,7 @@ Top-k per user is `row_number() <= k` over a window keyed by user: Catalyst
 adds a partial group limit before the shuffle (WindowGroupLimit), so each map
 task forwards at most k rows per user and a very active user does not build
 an unbounded group in one task. Look-ups of the movie catalogue split hot
-movies with `joins.salted_join` when the catalogue carries its per-movie
-rating count (the movie collection does).
+movies with `joins.salted_join`, by the counts of the rows looked up.
 """
 
 from __future__ import annotations
@@ -22,22 +21,22 @@ from reelstats.functions.columns import (
 )
 from reelstats.operators.joins import DEFAULT_HOT_ROWS, salted_join
 
-# Largest key list that is broadcast; beyond it the semi join shuffles.
-BROADCAST_MAX_KEYS = 1_000_000
-CATALOGUE_COUNT = "rating_count"
 
 
 def lookup_movies(ratings: DataFrame, movies: DataFrame, cols: list[str],
-                  count_col: str = CATALOGUE_COUNT, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Left join of ratings with catalogue columns by movieId. With a per-movie
-    count in the catalogue (an upper bound of ratings per movie), hot movies are
-    split over several tasks; otherwise a plain join."""
-    if count_col in movies.columns:
-        cat = movies.select("movieId", *cols, count_col)
-        salt = ["userId"] if "userId" in ratings.columns else None
-        return salted_join(ratings, cat, "movieId", "left", count_col=count_col,
-                           hot_rows=hot_rows, salt_cols=salt).drop(count_col)
-    return ratings.join(movies.select("movieId", *cols), "movieId", "left")
+                  hot_rows: int | None = DEFAULT_HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
+    """Left join of ratings with catalogue columns by movieId, hot movies split
+    over several tasks, in the catalogue or not.
+
+    `counts` (movieId, rating_count) holds the rows per movie of `ratings` or an
+    upper bound, for every movie in them; by default they are counted here.
+    """
+    cat = movies.select("movieId", *cols)
+    if counts is None:
+        counts = ratings.groupBy("movieId").agg(F.count(F.lit(1)).alias("rating_count"))
+    salt = ["userId"] if "userId" in ratings.columns else None
+    return salted_join(ratings, cat, "movieId", "left", count_col="rating_count", hot_rows=hot_rows,
+                       salt_cols=salt, counts=counts)
 
 
 def first_user_ids(ratings: DataFrame, n: int = 20) -> DataFrame:
@@ -47,14 +46,12 @@ def first_user_ids(ratings: DataFrame, n: int = 20) -> DataFrame:
 
 def ratings_of_first_users(ratings: DataFrame, n: int = 1000) -> DataFrame:
     """Rows of the `n` smallest user ids; the id list is at most `n` rows."""
-    ids = first_user_ids(ratings, n)
-    if n <= BROADCAST_MAX_KEYS:
-        ids = F.broadcast(ids)
-    return ratings.join(ids, "userId", "left_semi")
+    return ratings.join(first_user_ids(ratings, n), "userId", "left_semi")
 
 
 def collection_status(collections: dict[str, DataFrame]) -> DataFrame:
-    """(collection, is_empty) per collection; each probe reads at most one row."""
+    """(collection, is_empty) per collection; pass the cheapest frame that is
+    empty exactly when the collection is."""
     parts = [
         df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty")).select(
             F.lit(name).alias("collection"), "is_empty"
@@ -77,10 +74,11 @@ def user_exists(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
     )
 
 
-def user_rated_movies(ratings: DataFrame, movies: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def user_rated_movies(ratings: DataFrame, movies: DataFrame, hot_rows: int | None = DEFAULT_HOT_ROWS,
+                      counts: DataFrame | None = None) -> DataFrame:
     """Each rating with the movie's title ('Inconnu' if unknown) and display genres."""
     rated = lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["title", "genres"],
-                          hot_rows=hot_rows)
+                          hot_rows, counts)
     return rated.select(
         "userId",
         "movieId",
@@ -106,12 +104,12 @@ def top_k_per_key(df: DataFrame, key: str, order: list, k: int, rank_col: str =
 
 
 def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k: int = 5,
-                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                    hot_rows: int | None = DEFAULT_HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Per user, the `k` genres with the best mean rating among genres with
     at least `min_films` rated movies. A movie unknown to the catalogue counts
     for the empty genre, as the look-up default does."""
     per_genre = (
-        lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["genres"], hot_rows=hot_rows)
+        lookup_movies(ratings.select("userId", "movieId", "rating"), movies, ["genres"], hot_rows, counts)
         .select("userId", "rating",
                 F.explode(genre_array(F.coalesce("genres", F.lit("")))).alias("genre"))
         .groupBy("userId", "genre")
@@ -122,7 +120,7 @@ def user_top_genres(ratings: DataFrame, movies: DataFrame, min_films: int = 3, k
 
 
 def user_top_recommendations(recs: DataFrame, movies: DataFrame, k: int = 5,
-                             latest_only: bool = True) -> DataFrame:
+                             latest_only: bool = True, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Per user, the `k` best-scored stored recommendations with title, genres and
     the score rounded to 2 decimals (HALF_UP).
 
@@ -140,7 +138,7 @@ def user_top_recommendations(recs: DataFrame, movies: DataFrame, k: int = 5,
         top = top.withColumn("_newest", newest).where(F.col("batch_id") == F.col("_newest")).drop("_newest")
     else:
         top = top_k_per_key(cols, "userId", by_score, k)
-    top = lookup_movies(top, movies, ["title", "genres"])
+    top = lookup_movies(top, movies, ["title", "genres"], hot_rows)
     return top.select(
         "userId",
         "rank",

@@ -34,8 +34,16 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.shared_clean_ratings(ratings(spark, sf_dir))
+
+
+def active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings of active users: the rows of `enriched` without its joins with movies."""
+    return prepare.ratings_active_users(clean(spark, sf_dir), QUERY_MIN_USER_RATINGS)
+
+
 def kept_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean movies with features and enough support (the movie catalogue), built
     exactly as inside the enrichment so that a query using both shares the plan."""
-    clean = prepare.shared_clean_ratings(ratings(spark, sf_dir))
-    return prepare.movie_catalogue(clean, movies(spark, sf_dir), QUERY_MIN_MOVIE_RATINGS)
+    return prepare.movie_catalogue(clean(spark, sf_dir), movies(spark, sf_dir), QUERY_MIN_MOVIE_RATINGS)

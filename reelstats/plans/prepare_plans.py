@@ -95,7 +95,7 @@ def enriched_ratings(spark, sf_dir):
     ),
 )
 def enriched_counts(spark, sf_dir):
-    return profile.key_counts(inputs.enriched(spark, sf_dir))
+    return profile.key_counts(inputs.active(spark, sf_dir))
 
 
 _FLOATING = {"rating", "avg_rating", "user_avg_rating"}

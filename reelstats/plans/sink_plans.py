@@ -6,7 +6,7 @@ Each writer runs on the cluster into a fresh folder under the shared root
 
 from __future__ import annotations
 
-from reelstats.operators import profile, serving
+from reelstats.operators import prepare, profile, serving
 from reelstats.plans import inputs
 from reelstats.plans.oracle import enriched_ctes, with_fixtures
 from reelstats.plans.prepare_plans import MIN_MOVIE, MIN_USER
@@ -18,7 +18,6 @@ from reelstats.sources import files
 ENRICHED = enriched_ctes(MIN_MOVIE, MIN_USER)
 FIRST_USERS = 1000
 REFERENCE_SAMPLE_CAP = 1_000_000
-REFERENCE_RANGE_CAP = 2_000_000
 
 
 @register("enriched_parquet_roundtrip", with_fixtures(ENRICHED + " SELECT * FROM en"))
@@ -50,7 +49,7 @@ def movies_parquet_roundtrip(spark, sf_dir):
     ),
 )
 def ratings_view_sql(spark, sf_dir):
-    files.register_view(inputs.enriched(spark, sf_dir), "ratings_view")
+    files.register_view(prepare.rating_date_parts(inputs.active(spark, sf_dir)), "ratings_view")
     return spark.sql(
         "SELECT rating_year, rating_month, COUNT(*) AS n_ratings, AVG(rating) AS avg_rating "
         "FROM ratings_view GROUP BY rating_year, rating_month"
@@ -90,7 +89,7 @@ def first_users_ratings_documents(spark, sf_dir):
     with_fixtures(ENRICHED + " SELECT DISTINCT userId FROM en ORDER BY userId LIMIT 20"),
 )
 def first_user_ids(spark, sf_dir):
-    return serving.first_user_ids(inputs.enriched(spark, sf_dir), 20)
+    return serving.first_user_ids(inputs.active(spark, sf_dir), 20)
 
 
 @register(
@@ -98,8 +97,8 @@ def first_user_ids(spark, sf_dir):
     with_fixtures("SELECT * FROM ratings WHERE userId BETWEEN 1 AND 1000"),
 )
 def ratings_sample_by_id_range(spark, sf_dir):
-    """Users 1-1000 with the reference's 2,000,000-row cap (not reached here)."""
-    return files.sample_id_range(inputs.ratings(spark, sf_dir), "userId", 1, 1000, REFERENCE_RANGE_CAP)
+    """All ratings of users 1-1000."""
+    return files.sample_id_range(inputs.ratings(spark, sf_dir), "userId", 1, 1000)
 
 
 @register(

@@ -9,22 +9,44 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reelstats.operators import serving
 from reelstats.plans import inputs
 from reelstats.plans.oracle import DECODED_CTE, with_fixtures
 from reelstats.plans.recommend_plans import SPLIT, model_for
 from reelstats.plans.prepare_plans import MIN_MOVIE, MIN_USER
 from reelstats.plans.oracle import enriched_ctes
 from reelstats.plans.registry import register
+from reelstats.functions.columns import epoch_seconds
 from reelstats.session import scratch_path
 from reelstats.sinks import writers
 from reelstats.sources import fixtures
+from reelstats.sources.tables import read_table
 from reelstats.streaming import decode, runner
 from reelstats.streaming.recommend import parquet_batch_writer, recommendation_batch_handler
 
 STREAM_K = 5
+STREAM_BATCHES = 2
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def _recommendation_store(spark, sf_dir) -> str:
+    """Top-5 per micro-batch for the users of the events, in two batches: a stream over
+    a folder with the events of even id, restarted from its checkpoint once those of
+    odd id have come in. Returns the path of the stored recommendations."""
+    out = scratch_path(spark, "recs")
+    events = read_table(spark, sf_dir, "events")
+    handler = recommendation_batch_handler(
+        model_for(spark, sf_dir), parquet_batch_writer(f"{out}/data", f"{out}/_ckpt"), STREAM_K
+    )
+    for half in range(STREAM_BATCHES):
+        arrived = events.where(F.pmod("event_id", F.lit(STREAM_BATCHES)) == half)
+        arrived.write.mode("append").parquet(f"{out}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{out}/events")
+        decoded = decode.decode_json(fixtures.rating_messages(spark, sf_dir, stream))
+        runner.drain(runner.start_foreach_batch(decoded, handler, f"{out}/_ckpt", trigger=AVAILABLE_NOW))
+    return f"{out}/data"
+
+
 def _decoded_stream(spark, sf_dir, max_files_per_trigger: int = 1):
     messages = fixtures.rating_messages(spark, sf_dir, fixtures.events_stream(spark, sf_dir,
                                                                               max_files_per_trigger))
@@ -50,25 +72,38 @@ def stream_decode_events(spark, sf_dir):
     "stream_recommendations",
     with_fixtures(
         f"{enriched_ctes(MIN_MOVIE, MIN_USER)}, {SPLIT}, {DECODED_CTE} "
-        f"SELECT DISTINCT userId, LEAST({STREAM_K}, (SELECT COUNT(DISTINCT movieId) FROM tr)) AS n_recs, "
-        "CAST(1 AS BIGINT) AS n_batches FROM decoded WHERE userId IN (SELECT userId FROM tr)"
+        f"SELECT userId, LEAST({STREAM_K}, (SELECT COUNT(DISTINCT movieId) FROM tr)) "
+        f"* COUNT(DISTINCT event_id % {STREAM_BATCHES}) AS n_recs, "
+        f"COUNT(DISTINCT event_id % {STREAM_BATCHES}) AS n_batches "
+        "FROM decoded WHERE userId IN (SELECT userId FROM tr) GROUP BY userId"
     ),
     check="inv",
 )
 def stream_recommendations(spark, sf_dir):
     """Per micro-batch: top-5 for each distinct known user, written per batch id."""
-    out = scratch_path(spark, "recs")
-    handler = recommendation_batch_handler(model_for(spark, sf_dir), parquet_batch_writer(f"{out}/data", f"{out}/_ckpt"),
-                                           STREAM_K)
-    q = runner.start_foreach_batch(_decoded_stream(spark, sf_dir), handler, f"{out}/_ckpt",
-                                   trigger=AVAILABLE_NOW)
-    runner.drain(q)
-    recs = spark.read.parquet(f"{out}/data")
+    recs = spark.read.parquet(_recommendation_store(spark, sf_dir))
     return recs.groupBy("userId").agg(
         F.count(F.lit(1)).alias("n_recs"), F.count_distinct("batch_id").alias("n_batches")
     )
 
 
+@register(
+    "stream_served_recommendations",
+    with_fixtures(
+        f"{enriched_ctes(MIN_MOVIE, MIN_USER)}, {SPLIT}, {DECODED_CTE} "
+        "SELECT userId, CAST(r AS INTEGER) AS rank "
+        "FROM (SELECT DISTINCT userId FROM decoded WHERE userId IN (SELECT userId FROM tr)) u "
+        f"CROSS JOIN range(1, {STREAM_K + 1}) ranks(r) WHERE r <= (SELECT COUNT(DISTINCT movieId) FROM tr)"
+    ),
+    check="inv",
+)
+def stream_served_recommendations(spark, sf_dir):
+    """The stored recommendations served: each known user's newest batch, by rank."""
+    recs = spark.read.parquet(_recommendation_store(spark, sf_dir))
+    served = serving.user_top_recommendations(recs, inputs.kept_movies(spark, sf_dir), STREAM_K)
+    return served.select("userId", "rank")
+
+
 @register(
     "stream_text_passthrough",
     with_fixtures("SELECT CAST(event_id AS VARCHAR) AS key, props AS value FROM events"),
@@ -94,12 +129,12 @@ def stream_text_passthrough(spark, sf_dir):
 def stream_progress(spark, sf_dir):
     """Sum of input rows over the progress reports of a drained stream."""
     out = scratch_path(spark, "progress")
-    q = runner.start_sink(_decoded_stream(spark, sf_dir), "parquet", checkpoint=f"{out}/_ckpt",
-                          path=f"{out}/data", trigger=AVAILABLE_NOW)
-    runner.drain(q)
-    return runner.progress_frame(spark, q).agg(
-        F.coalesce(F.sum("numInputRows"), F.lit(0)).cast("long").alias("total_input_rows")
-    )
+    with runner.progress_totals(spark) as log:
+        q = runner.start_sink(_decoded_stream(spark, sf_dir), "parquet", checkpoint=f"{out}/_ckpt",
+                              path=f"{out}/data", trigger=AVAILABLE_NOW)
+        runner.drain(q)
+        total = log.totals(q)["input_rows"]
+    return spark.createDataFrame([(total,)], "total_input_rows long")
 
 
 @register(
@@ -113,7 +148,7 @@ def publish_json_messages(spark, sf_dir):
     """Ratings published as JSON messages (time as epoch seconds), read back and decoded."""
     ratings = inputs.ratings(spark, sf_dir)
     messages = writers.to_messages(
-        ratings.withColumn("timestamp", F.unix_timestamp(F.col("timestamp").cast("timestamp"))),
+        ratings.withColumn("timestamp", epoch_seconds("timestamp")),
         ["userId", "movieId", "rating", "timestamp"],
     )
     path = writers.publish_messages(messages, scratch_path(spark, "messages"))

@@ -10,6 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +51,28 @@ def write_parquet(df: DataFrame, path: str, num_files: int | None = None, mode:
     return path
 
 
+def _is_io_error(error: Exception) -> bool:
+    """Is there an I/O error among the causes?"""
+    if isinstance(error, OSError):
+        return True
+    origin = error if isinstance(error, Py4JJavaError) else getattr(error, "_origin", None)
+    cause = origin.java_exception if isinstance(origin, Py4JJavaError) else origin
+    gateway = SparkContext._gateway
+    while cause is not None:
+        if is_instance_of(gateway, cause, "java.io.IOException"):
+            return True
+        cause = cause.getCause()
+    return False
+
+
 def write_with_fallback(write: Callable[[str], str], primary: str, fallback: str) -> str:
-    """Write to `primary`; on a write failure write to `fallback`. Returns the path used."""
+    """Write to `primary`; where storage refuses it, write to `fallback`. Returns the
+    path used. A query that fails for another reason is not run again."""
     try:
         return write(primary)
-    except Exception as primary_error:  # the storage layer's error type varies
+    except (PySparkException, Py4JJavaError, OSError) as primary_error:
+        if not _is_io_error(primary_error):
+            raise
         try:
             return write(fallback)
         except Exception as fallback_error:

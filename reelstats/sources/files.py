@@ -40,15 +40,20 @@ def _kept(df: DataFrame, persist: bool) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
 
-def sample_capped(df: DataFrame, cap: int, persist: bool = False) -> DataFrame:
-    """At most `cap` rows, which rows is unspecified; optionally cached."""
-    return _kept(df.limit(cap), persist)
+def _capped(df: DataFrame, cap: int | None) -> DataFrame:
+    return df if cap is None else df.limit(cap)
 
 
-def sample_id_range(df: DataFrame, column: str, low: int, high: int, cap: int,
+def sample_capped(df: DataFrame, cap: int | None = None, persist: bool = False) -> DataFrame:
+    """At most `cap` rows, which rows is unspecified (a limit gathers
+    them in one partition); without a cap all rows, as they lie. Optionally cached."""
+    return _kept(_capped(df, cap), persist)
+
+
+def sample_id_range(df: DataFrame, column: str, low: int, high: int, cap: int | None = None,
                     persist: bool = False) -> DataFrame:
-    """Rows whose id lies in [low, high], at most `cap` of them; optionally cached."""
-    return _kept(df.where(F.col(column).between(low, high)).limit(cap), persist)
+    """Rows whose id lies in [low, high], at most `cap` of them if given; optionally cached."""
+    return _kept(_capped(df.where(F.col(column).between(low, high)), cap), persist)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = T.StructType(
     [
@@ -58,8 +60,59 @@ def stop(query: StreamingQuery) -> None:
         query.stop()
 
 
+class ProgressTotals(StreamingQueryListener):
+    """Batches and input rows of every query run while it listens, complete for any
+    number of triggers (a query itself keeps about its last 100 reports)."""
+
+    def __init__(self) -> None:
+        self._runs: dict[str, dict] = {}
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 (the listener's API names)
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        with self._changed:
+            run = self._runs.setdefault(str(p.runId), {"batches": 0, "input_rows": 0, "last": None})
+            if p.batchId != run["last"]:  # an idle trigger reports the next batch without rows
+                run["batches"] += p.numInputRows > 0
+                run["last"] = p.batchId if p.numInputRows > 0 else run["last"]
+            run["input_rows"] += p.numInputRows
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def totals(self, query: StreamingQuery, timeout_s: float = 60.0) -> dict:
+        """{"batches", "input_rows"} of an ended query; its reports arrive before its end does."""
+        run = str(query.runId)
+        with self._changed:
+            if not self._changed.wait_for(lambda: run in self._ended, timeout_s):
+                raise TimeoutError(f"the end of query run {run} was not reported")
+            found = self._runs.get(run, {"batches": 0, "input_rows": 0})
+            return {"batches": found["batches"], "input_rows": found["input_rows"]}
+
+
+@contextmanager
+def progress_totals(spark: SparkSession) -> Iterator[ProgressTotals]:
+    """Listens to the queries started inside the block."""
+    log = ProgressTotals()
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's retained progress reports as rows (a few per trigger, bounded)."""
+    """The progress reports that the query still holds, about the last 100, as rows;
+    `progress_totals` counts all of them."""
     rows = [
         (
             p.get("batchId"),

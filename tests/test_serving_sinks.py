@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import types as T
 
 from reelstats import schemas
@@ -88,6 +90,36 @@ def test_fallback_writer_uses_second_path(spark):
     assert spark.read.parquet(used).count() == 3
 
 
+def test_fallback_writer_does_not_repeat_a_failed_query(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    tried = []
+    df = _movies(spark).withColumn("x", F.when(F.col("movieId") >= 0, F.raise_error(F.lit("broken query"))))
+
+    def write(path):
+        tried.append(path)
+        return writers.write_parquet(df, path)
+
+    with pytest.raises(Exception, match="broken query"):
+        writers.write_with_fallback(write, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert tried == [str(tmp_path / "a")]
+
+
+def test_published_seconds_do_not_depend_on_the_session_zone(spark):
+    from reelstats.functions.columns import epoch_seconds
+
+    r = spark.createDataFrame([(1, 2, 3.5, datetime(2023, 11, 5, 6, 30, 20))], schemas.RATINGS)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        found = set()
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found.add(r.select(epoch_seconds("timestamp")).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert found == {1699165820}
+
+
 def test_partitioned_write_prunes_on_read(spark):
     d = tempfile.mkdtemp(prefix="reelstats-test-")
     df = spark.createDataFrame(
@@ -162,6 +194,39 @@ def test_lookups_with_hot_movie_split_equal_unsplit(spark):
     r = spark.createDataFrame(data, schemas.RATINGS)
     from pyspark.sql import functions as F
 
-    cat = _movies(spark).withColumn("rating_count", F.lit(200))
+    # movie 1 is hot and in the catalogue; then hot and absent from it
+    for cat in (_movies(spark), _movies(spark).where("movieId <> 1")):
+        _check_lookups(r, cat)
+    with _no_small_joins(spark):
+        found = serving.lookup_movies(r, _movies(spark).where("movieId <> 1"), ["title"], hot_rows=20)
+        spread = found.where("movieId = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert spread >= 4
+    # one movie recommended to every user
+    recs = spark.createDataFrame([(u, 1, 4.0, 0) for u in range(300)], "userId int, movieId int, rating float, batch_id long")
+    split = serving.user_top_recommendations(recs, _movies(spark), hot_rows=20)
+    whole = serving.user_top_recommendations(recs, _movies(spark), hot_rows=None)
+    assert sorted(split.collect()) == sorted(whole.select(*split.columns).collect()) and split.count() == 300
+
+
+@contextlib.contextmanager
+def _no_small_joins(spark):
+    """Neither broadcast joins nor merged shuffle partitions, as with large inputs."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _check_lookups(r, cat):
     for fn in (serving.user_rated_movies, serving.user_top_genres):
         assert sorted(fn(r, cat, hot_rows=20).collect()) == sorted(fn(r, cat, hot_rows=None).collect())
