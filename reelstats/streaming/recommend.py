@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +62,12 @@ def recommendation_batch_handler(model: ALSModel, write: Callable[[DataFrame], N
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        write(batch_recommendations(model, batch, batch_id, k))
+        # kept for the emptiness test and the write, so that the source is read once
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                write(batch_recommendations(model, batch, batch_id, k))
+        finally:
+            batch.unpersist()
 
     return handle
