@@ -11,9 +11,11 @@ Two passes over the texts:
    are merged (a bit set once in two tasks becomes a twice-seen bit), and only
    the twice-seen filter, of fixed size `filter_bits`, is broadcast;
 2. lines whose key hits the twice-seen filter are suspects. Only they are
-   shuffled: grouped by the exact key (partial counts first, so a hot line
-   costs one row per task), which gives the first document of every confirmed
-   key. The suspects of other documents are then dropped.
+   written once under the shared folder, then grouped by the exact key (partial
+   minima first, so a hot line costs one row per task), which gives the first
+   document of every confirmed key. That table is written too: the join that
+   finds the suspects of other documents then has two plain shuffles as inputs,
+   so AQE splits a hot line's suspects over several tasks.
 A false hit only adds a suspect, never a dropped line. The filter has a fixed
 size: with far more distinct lines than `filter_bits` / 8 more lines are
 suspected and shuffled; raise the parameter there.
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.llm import arrowtext as at
-from reelstats.llm.tables import NULL_ID, id_key
+from reelstats.llm.tables import NULL_ID, id_key, written
 
 MIN_KEY = 10
 FILTER_BITS = 1 << 26
@@ -130,10 +132,11 @@ def confirmed_lines(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFram
                 hit = np.flatnonzero(((seen[at_bit >> 3] >> (at_bit & 7).astype(np.uint8)) & 1).all(0))
                 yield pa.record_batch([pa.array([pairs[i][0] for i in hit], pa.int64()), pa.array([pairs[i][1] for i in hit], pa.string())], names=["_line_doc", "_line_key"])
 
-    found = docs.select(id_key().alias("_line_doc"), "text").mapInArrow(suspects, "_line_doc long, _line_key string")
-    first = (
+    found = written(docs.select(id_key().alias("_line_doc"), "text").mapInArrow(suspects, "_line_doc long, _line_key string"), "suspects")
+    first = written(
         found.groupBy("_line_key").agg(F.min("_line_doc").alias("_line_first"), F.max("_line_doc").alias("_line_last"))
-        .where("_line_first < _line_last").select("_line_key", "_line_first")
+        .where("_line_first < _line_last").select("_line_key", "_line_first"),
+        "repeated-lines",
     )
     return (
         found.join(first, "_line_key").where("_line_doc > _line_first")
