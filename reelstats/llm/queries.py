@@ -78,4 +78,9 @@ QUERIES = {f.__name__: f for f in (
     op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing,
 )}
 
-ORACLES = {"op9_line_dedup": sql.LINE_DEDUP, "op10_source_mixing": sql.SOURCE_MIXING}
+ORACLES = {
+    "op4_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op5_ngram_jaccard": sql.NGRAM_JACCARD,
+    "op9_line_dedup": sql.LINE_DEDUP,
+    "op10_source_mixing": sql.SOURCE_MIXING,
+}

@@ -53,3 +53,51 @@ SELECT doc_id, size, source_size, target,
        (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM rated
 """
+
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM texts
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM texts WHERE len(ws) >= 20)
+), repeats AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+), judged AS (
+  SELECT words.doc_id, word, j,
+         coalesce(max(i) OVER (PARTITION BY words.doc_id ORDER BY j ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM words LEFT JOIN repeats ON words.doc_id = repeats.doc_id AND words.j = repeats.i
+)
+SELECT texts.doc_id, max(len(ws))::BIGINT AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM texts LEFT JOIN judged ON texts.doc_id = judged.doc_id GROUP BY texts.doc_id
+"""
+
+NGRAM_JACCARD = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM texts WHERE len(ws) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 80 * (p.n + q.n - shared)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reached.x, edges.y FROM reached JOIN edges ON reached.y = edges.x
+), component AS (
+  SELECT x, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT texts.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id
+FROM texts JOIN component ON component.x = texts.doc_id LEFT JOIN sizes ON sizes.doc_id = texts.doc_id
+"""
