@@ -8,7 +8,7 @@ duplicate catalogue rows included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.functions.columns import activity_tier, genre_array, round_half_up, title_year
@@ -27,39 +27,33 @@ def movies_per_year(movies: DataFrame) -> DataFrame:
     return years.groupBy("year").agg(F.count(F.lit(1)).alias("nb_films")).orderBy("year")
 
 
-def year_bounds(movies: DataFrame) -> tuple[int | None, int | None]:
-    """Min and max title year: one tiny aggregate, two numbers to the driver."""
-    row = movie_title_year(movies).agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
-    return row["lo"], row["hi"]
+def year_histogram(movies: DataFrame, bins: int = 30) -> DataFrame:
+    """Equal-width histogram of title years; the last bin is closed; empty bins kept.
 
-
-def year_histogram(movies: DataFrame, bins: int = 30, bounds: tuple | None = None) -> DataFrame:
-    """Equal-width histogram of title years; the last bin is closed; empty bins kept."""
-    spark = movies.sparkSession
-    lo, hi = bounds if bounds is not None else year_bounds(movies)
-    edges = _bin_edges(spark, bins, lo, hi)
-    if lo is None:
-        return edges.withColumn("n", F.lit(0).cast("long"))
-    width = (hi - lo) / bins if hi > lo else 1.0
-    years = movie_title_year(movies).select("year").na.drop()
-    idx = F.least(F.floor((F.col("year") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = years.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        edges.join(F.broadcast(counts), "bin", "left")  # at most `bins` rows
-        .withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
-        .orderBy("bin")
+    The movies are read once: counted by year (a year has four digits, so at most
+    10,000 rows remain), and the bins are cut from that one row of counts.
+    Without any year all bins are empty and have no bounds.
+    """
+    per_year = movie_title_year(movies).where("year is not null").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    whole = per_year.agg(
+        F.min("year").cast("double").alias("lo"), F.max("year").cast("double").alias("hi"),
+        F.collect_list(F.struct("year", "n")).alias("years"),
+    )
+    span = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(F.lit(float(bins)))
+    b = F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    binned = whole.select("lo", span.alias("span"), "years", b).select(
+        "bin",
+        (F.col("lo") + F.col("span") * F.col("bin") / float(bins)).alias("bin_start"),
+        (F.col("lo") + F.col("span") * (F.col("bin") + 1) / float(bins)).alias("bin_end"),
+        F.filter("years", lambda y: _bin_of(y["year"], bins) == F.col("bin")).alias("years"),
     )
+    total = F.aggregate("years", F.lit(0).cast("long"), lambda n, y: n + y["n"])
+    return binned.select("bin", "bin_start", "bin_end", total.alias("n")).orderBy("bin")
 
 
-def _bin_edges(spark: SparkSession, bins: int, lo, hi) -> DataFrame:
-    b = F.col("id").cast("int")
-    if lo is None:
-        start = end = F.lit(None).cast("double")
-    else:
-        span = F.lit(float(hi - lo)) if hi > lo else F.lit(float(bins))
-        start = F.lit(float(lo)) + span * b / F.lit(float(bins))
-        end = F.lit(float(lo)) + span * (b + 1) / F.lit(float(bins))
-    return spark.range(bins).select(b.alias("bin"), start.alias("bin_start"), end.alias("bin_end"))
+def _bin_of(year, bins: int):
+    """The bin of a year, from the columns lo and span."""
+    return F.least(F.floor((year - F.col("lo")) / (F.col("span") / float(bins))), F.lit(bins - 1))
 
 
 def genre_counts(movies: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 
 from reelstats import schemas
 from reelstats.operators import explore, profile
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 T0 = datetime(2020, 1, 1)
 
@@ -29,6 +29,12 @@ def test_year_histogram_closed_last_bin_and_empty_bins(spark):
     assert h[0]["n"] == 2 and h[29]["n"] == 2  # 2000 falls in the last, closed bin
     assert h[0]["bin_start"] == 1950.0 and h[29]["bin_end"] == 2000.0
     assert sum(1 for r in h if r["n"] == 0) == 27
+    some = spark.range(3).selectExpr("id as movieId", "concat('x (', 1990 + id, ')') as title", "'A' as genres")
+    assert plan_text(explore.year_histogram(some)).count("Range (") == 1  # read once
+    same = explore.year_histogram(m.where("title like '%2000%'"), bins=4).collect()
+    assert [(r["bin_start"], r["bin_end"], r["n"]) for r in same] == [(2000.0, 2001.0, 2), (2001.0, 2002.0, 0), (2002.0, 2003.0, 0), (2003.0, 2004.0, 0)]
+    without = explore.year_histogram(m.where("movieId = 9"), bins=4).collect()
+    assert [tuple(r) for r in without] == [(b, None, None, 0) for b in range(4)]
 
 
 def test_top_k_pre_aggregation_equals_join_then_group(spark):

@@ -110,3 +110,24 @@ def test_enrichment_with_hot_user_and_movie_split_equals_unsplit(spark):
                                      hot_rows=10**12)
     assert split.count() == whole.count() > 0
     assert sorted(split.collect()) == sorted(whole.collect())
+
+
+def test_a_single_users_look_up_prunes_the_stored_collection(spark):
+    from reelstats.operators import serving
+    from reelstats.session import scratch_path
+
+    path = scratch_path(spark, "stored-ratings")
+    inputs.active(spark, SMALL_SF_DIR).select("userId", "movieId", "rating").write.parquet(path)
+    stored, movies = spark.read.parquet(path), inputs.movies(spark, SMALL_SF_DIR).dropDuplicates(["movieId"])
+    user = stored.first()["userId"]
+    # one user's rows need no split, so nothing counts the whole collection
+    for whole in (serving.user_rated_movies(stored, movies, hot_rows=None), serving.user_rating_histogram(stored),
+                  serving.user_top_genres(stored, movies, hot_rows=None)):
+        one = whole.where(whole["userId"] == user)
+        scans = [x for x in plan_text(one, "formatted").split("\n") if x.startswith("PushedFilters")]
+        assert [x for x in scans if f"EqualTo(userId,{user})" in x]
+        assert plan_text(one).count("ReadSchema: struct<userId:int") == 1
+        assert sorted(one.collect()) == sorted(r for r in whole.collect() if r["userId"] == user)
+    # split look-ups push the filter into the rows looked up as well
+    split = serving.user_rated_movies(stored, movies).where(f"userId = {user}")
+    assert f"EqualTo(userId,{user})" in plan_text(split, "formatted")
