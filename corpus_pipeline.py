@@ -40,7 +40,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pieces of all documents, copies included, placed in sequences of 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID, added_tokens=True)
 
 
 STAGES = [

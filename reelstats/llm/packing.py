@@ -121,11 +121,11 @@ def _packed(length: int, open_bins: int, first_bin: int, leave_open: bool):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids) of every piece of every document."""
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ids) of every piece of every document; added_tokens as in Encoder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(tokenizer)
+        coder = Encoder(tokenizer, added_tokens)
         for batch in batches:
             for part in at.chunks(batch, "text", CHUNK_BYTES):
                 ids, off = coder.with_end(part.column("text"), end_id)
@@ -165,5 +165,7 @@ def pack(rows: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, fan_
     return first.where("sequence_id is not null").unionByName(again)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, open_bins: int = OPEN_BINS, with_ids: bool = False) -> DataFrame:
-    return pack(pieces(docs, tokenizer, end_id, length, with_ids), length, open_bins)
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, open_bins: int = OPEN_BINS, with_ids: bool = False, added_tokens: bool = False
+) -> DataFrame:
+    return pack(pieces(docs, tokenizer, end_id, length, with_ids, added_tokens), length, open_bins)

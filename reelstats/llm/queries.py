@@ -36,7 +36,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
-    token_files.write_tokens(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID_FILES)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"), END_ID_FILES, added_tokens=True)
     return token_files.read_index(spark, path)
 
 
@@ -57,7 +57,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), END_ID_PACK)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), END_ID_PACK, added_tokens=True)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

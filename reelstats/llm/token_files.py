@@ -37,11 +37,11 @@ from reelstats.llm.tokens import CHUNK_BYTES, Encoder
 _SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, file_start long, token_ids array<int>"
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32, file_start (running sum of the partition), token_ids."""
+def encode(docs: DataFrame, tokenizer: str, end_id: int, added_tokens: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32, file_start (running sum of the partition), token_ids; added_tokens as in Encoder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, done = Encoder(tokenizer), 0
+        coder, done = Encoder(tokenizer, added_tokens), 0
         for batch in batches:
             for part in at.chunks(batch, "text", CHUNK_BYTES):
                 ids, off = coder.with_end(part.column("text"), end_id)
@@ -56,14 +56,14 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SCHEMA)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10, added_tokens: bool = False) -> None:
     in_order = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     )
     (
-        encode(in_order, tokenizer, end_id)
+        encode(in_order, tokenizer, end_id, added_tokens)
         .write.option("parquet.block.size", row_group_bytes)
         .option("parquet.page.size", page_bytes)
         .option("parquet.dictionary.page.size", 1 << 20)

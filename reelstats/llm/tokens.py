@@ -8,10 +8,16 @@ joined by a separator whose id ends a piece; pieces for which that would not be
 exact (they hold the separator or an unusual white-space run) go one by one.
 Texts with Unicode white space beyond ASCII, where a run could go on across a
 cut, are encoded whole.
+
+With added_tokens, added tokens of the vocabulary ('<|endoftext|>') found in a
+text get their own ids, as the library does by default, and texts that hold one
+are encoded whole; without, they are text like any other.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,16 +37,21 @@ class Encoder:
     BPE); else white space is dropped and only words are pieces.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        state = at.process_cache(f"tokenizer {path}")
+        state = at.process_cache(f"tokenizer {path} {added_tokens}")
         if "tok" not in state:
             tok = Tokenizer.from_file(path)
-            tok.encode_special_tokens = True
+            tok.encode_special_tokens = not added_tokens
+            # special tokens too, if added_tokens; the others are always found
+            added = [t for t in tok.get_added_tokens_decoder().values() if added_tokens or not t.special]
+            state["whole"] = "|".join([OTHER_SPACE, *(re.escape(t.content) for t in added)])
+            if any(t.normalized for t in added) and tok.normalizer is not None:
+                state["whole"] = ""  # matched in the normalized text: every text is encoded whole
             state["keeps_space"] = len(tok.encode("a  b", add_special_tokens=False).ids) > 2
             state["separator"] = b"\n" if state["keeps_space"] else b"~"
             state["tok"] = tok
@@ -155,7 +166,7 @@ class Encoder:
         arr = pc.fill_null(arr.cast(pa.large_string()), "")
         buf, off = at.utf8(arr)
         rows = len(arr)
-        odd = pc.match_substring_regex(arr, OTHER_SPACE).to_numpy(zero_copy_only=False).astype(bool)
+        odd = pc.match_substring_regex(arr, self.state["whole"]).to_numpy(zero_copy_only=False).astype(bool)
         s, e, row, simple = self._pieces(buf, off)
         if odd.any():
             plain = ~odd[row]

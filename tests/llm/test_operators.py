@@ -256,6 +256,40 @@ def _ids(name, end):
     return {r[0]: np.array([*tok.encode(r[1] or "", add_special_tokens=False).ids, end], "<u4") for r in ROWS}
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_finds_added_tokens(name):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path(name))
+    coder = tokens.Encoder(public_tokenizers.path(name), added_tokens=True)
+    texts = [*TEXTS, "ends here <|endoftext|> next", "<|endoftext|>", "a<|startoftext|>b <|EndOfText|> <|endoftext", " \n<|endoftext|>\n\n x"]
+    ids, n = coder.batch(pa.array(texts))
+    cut = np.concatenate([[0], np.cumsum(n)])
+    for i, t in enumerate(texts):
+        assert ids[cut[i] : cut[i + 1]].tolist() == tok.encode(t or "", add_special_tokens=False).ids, t
+
+
+def test_op2_op7_and_pipeline_use_the_librarys_ids(spark, docs, monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from reelstats.llm import queries
+
+    def crc(name, end):
+        tok = Tokenizer.from_file(public_tokenizers.path(name))
+        ids = {r[0]: np.array([*tok.encode(r[1] or "", add_special_tokens=False).ids, end], "<u4") for r in ROWS}
+        return {(i, k // 2048): zlib.crc32(x[k : k + 2048].tobytes()) for i, x in ids.items() for k in range(0, len(x), 2048)}, {i: zlib.crc32(x.tobytes()) for i, x in ids.items()}
+
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    got = queries.op2_token_files(spark, "").collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in got} == crc("byte_bpe_50k.json", 2)[1]
+    for df in (queries.op7_best_fit_packing(spark, ""), corpus_pipeline.pack_sequences(spark, docs, "")):
+        assert {(r["doc_id"], r["piece"]): r["ids_crc32"] for r in df.collect()} == crc("word_bpe_49k.json", 0)[0]
+
+
 def test_op2_token_files_round_trip(spark, docs, none, odd, tmp_path):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     path = public_tokenizers.path("byte_bpe_50k.json")
