@@ -1,6 +1,8 @@
 """Main-text extraction from HTML by gradient-boosted trees over DOM nodes (operator 1).
 
-Each page becomes a tree of element nodes. A node's features: depth, place among
+Each page becomes a tree of element nodes; loose text directly in the page, html,
+body or head, with the inline elements in it, is a leaf of its own between block
+elements. A node's features: depth, place among
 its siblings, own and subtree text, link and tag density, punctuation, share of
 the page, tag kind, and tokens of its class, id and role attributes, for itself
 and its ancestors. Boosted trees give each node a log-odds of main content. A
@@ -11,12 +13,15 @@ There are no labelled pages; the model is fitted on pages laid out from the text
 blocks of a bounded sample of the input (`max_pages` pages chosen by a hash of
 their id) with known regions: article bodies, and menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments, under the usual tags and
-attribute tokens, each left out at random.
+attribute tokens, each left out at random. In further layouts the article lies
+directly in body, partly as loose text, among loose text that isn't part of it.
 
 The text of kept nodes, with character references decoded, is split into blocks
 at block elements; white space inside a block (line breaks included) becomes one
-space, blocks are trimmed and joined by one space. Script, style, templates and
-comments are never text. A page without any element keeps all its text.
+space, blocks are trimmed and joined by one space. Script, style, templates,
+comments, titles, frames, drawings and the contents of form fields are never
+text. A formula (math) is text of the node around it. A page without any element
+keeps all its text, and loose text stays where nothing else is left.
 
 Defined cases: null or empty html gives an empty text; rows with null or
 repeated page_id are taken by themselves, one result row per input row; an
@@ -40,14 +45,15 @@ MAX_PAGES = 250
 MAX_SAMPLE_CHARS = 200_000
 
 #: Tag kinds of HTML and usual names of page regions.
-SKIPPED = {"script", "style", "template", "noscript", "title", "textarea", "iframe", "xmp", "svg", "math", "object", "select"}
+SKIPPED = {"script", "style", "template", "title", "textarea", "iframe", "svg", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "input"}
+INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "object", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "input"}
 KINDS = [
     {"p"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"ul", "ol", "li", "dl", "dt", "dd"}, {"a"}, {"table", "tbody", "thead", "tr", "td", "th"},
-    {"blockquote", "pre", "figure", "figcaption"}, {"article"}, {"main"}, {"section"}, {"div"}, {"nav", "menu"}, {"header"}, {"footer"}, {"aside"},
-    {"form", "button", "fieldset", "label", "option"}, {"html", "body"}, {"head"}, INLINE,
+    {"blockquote", "pre", "xmp", "figure", "figcaption"}, {"article"}, {"main"}, {"section"}, {"div"}, {"nav", "menu"}, {"header"}, {"footer"}, {"aside"},
+    {"form", "button", "fieldset", "label", "option"}, {"html", "body"}, {"head"}, INLINE, {"#text"},
 ]
+FRAME = {"#page", "html", "body", "head"}
 REGIONS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager tabs",
     "head": "header head masthead topbar logo toolbar banner",
@@ -75,7 +81,7 @@ _SPACE = re.compile(r"\s+")
 _CLOSES = {  # a start tag that ends an open one of these
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-_SCOPE = {"ul", "ol", "dl", "table", "td", "th", "html", "body", "article", "main", "section", "div", "nav", "aside", "header", "footer", "form"}
+_SCOPE = {"ul", "ol", "dl", "table", "td", "th", "html", "body", "article", "main", "section", "div", "nav", "aside", "header", "footer", "form", "object"}
 
 
 class Page:
@@ -88,8 +94,22 @@ class Page:
         self.runs: list[tuple[int, int, str]] = []
         stack, block, pos, n = [0], 0, 0, len(source)
 
+        def add(tag: str, own: tuple[int, ...] = (), label: str | None = None) -> None:
+            self.tag.append(tag)
+            self.parent.append(stack[-1])
+            self.depth.append(len(stack))
+            self.regions.append(own)
+            self.label.append(label)
+
+        def loose() -> None:
+            if self.tag[stack[-1]] in FRAME:
+                add("#text")
+                stack.append(len(self.tag) - 1)
+
         def text(raw: str) -> None:
             if raw:
+                if raw.strip():
+                    loose()
                 self.runs.append((stack[-1], block, html_lib.unescape(raw)))
 
         while pos < n:
@@ -117,6 +137,12 @@ class Page:
                 if not stack:
                     stack = [0]
                 continue
+            if tag == "math":
+                end = re.compile(r"</math\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
+                if not m[3].rstrip().endswith("/"):
+                    text(_TOKEN.sub(lambda t: html_lib.escape(t[0][9:].removesuffix("]]>")) if t[0].startswith("<![CDATA[") else "", source[pos : end.start() if end else n]))
+                    pos = end.end() if end else n
+                continue
             if tag in SKIPPED:
                 end = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
                 if not m[3].rstrip().endswith("/"):
@@ -127,6 +153,8 @@ class Page:
                 continue
             if tag not in INLINE:
                 block += 1
+                if self.tag[stack[-1]] == "#text":
+                    stack.pop()
                 closing = _CLOSES.get(tag, set()) | {"p"}
                 for i in range(len(stack) - 1, 0, -1):
                     name = self.tag[stack[i]]
@@ -137,6 +165,8 @@ class Page:
                         break
             if tag in VOID:
                 continue
+            if tag in INLINE:
+                loose()
             own: set[int] = set()
             label = None
             for a in _ATTR.finditer(m[3]):
@@ -147,13 +177,14 @@ class Page:
                     own.update(_TOKENS[t] for t in _SPLIT.split(value.lower()) if t in _TOKENS)
             if tag in _TAG_REGION:
                 own.add(_TAG_REGION[tag])
-            self.tag.append(tag)
-            self.parent.append(stack[-1])
-            self.depth.append(len(stack))
-            self.regions.append(tuple(own))
-            self.label.append(label)
+            add(tag, tuple(own), label)
             if not m[3].rstrip().endswith("/") or tag not in VOID:
                 stack.append(len(self.tag) - 1)
+            if tag == "xmp":
+                end = re.compile(r"</xmp\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
+                raw = source[pos : end.start() if end else n]
+                text(html_lib.escape(raw))
+                pos += len(raw)
 
 
 _KIND = {t: i for i, kind in reversed(list(enumerate(KINDS))) for t in kind}
@@ -284,11 +315,14 @@ def decode(page: Page, score: np.ndarray) -> np.ndarray:
 
 
 def main_text(page: Page, kept: np.ndarray) -> str:
-    if len(page.tag) > 1:
-        # text of the page frame itself counts only if nothing else is left
-        frame = [t in ("#page", "html", "body", "head") for t in page.tag]
-        if any(kept[k] and not frame[k] and t.strip() for k, _, t in page.runs):
-            kept = kept & ~np.array(frame)
+    if not any(kept[k] and t.strip() for k, _, t in page.runs):
+        # loose text, with what it holds, stays if nothing else is left
+        in_loose = [False] * len(kept)
+        for i in range(1, len(kept)):
+            in_loose[i] = page.tag[i] == "#text" or in_loose[page.parent[i]]
+        kept = kept | np.array(in_loose)
+    if all(t in ("#page", "#text") for t in page.tag):
+        kept = np.ones(len(page.tag), bool)
     blocks: dict[int, list[str]] = {}
     for node, block, raw in page.runs:
         if kept[node]:
@@ -297,8 +331,11 @@ def main_text(page: Page, kept: np.ndarray) -> str:
     return " ".join(p for p in parts if p)
 
 
-def _layout(blocks: list[str], rng: np.random.RandomState) -> str:
-    """A page with known regions (data-y), laid out from text blocks."""
+def _layout(blocks: list[str], rng: np.random.RandomState, bare: bool = False) -> str:
+    """A page with known regions (data-y), laid out from text blocks; bare: the article lies in body itself.
+
+    An element x-loose stands for a run of loose text.
+    """
     pick = lambda: blocks[rng.randint(len(blocks))]
     short = lambda: " ".join(pick().split()[: rng.randint(1, 9)])
     chance = lambda p: rng.random_sample() < p
@@ -320,6 +357,7 @@ def _layout(blocks: list[str], rng: np.random.RandomState) -> str:
     def region(kind: str) -> str:
         tag = {"menu": "nav", "head": "header", "foot": "footer", "side": "aside", "form": "form"}.get(kind, "div")
         tag = tag if chance(0.6) else ("section" if chance(0.2) else "div")
+        tag = "noscript" if bare and kind == "notice" and chance(0.4) else tag
         attr = name(kind) if tag in ("div", "section") or chance(0.4) else ""
         inner = {
             "menu": lambda: links(rng.randint(2, 9)), "head": lambda: f"<h1>{esc(short())}</h1>" * chance(0.3) + links(rng.randint(0, 5)) + f"<span>{esc(short())}</span>",
@@ -330,9 +368,25 @@ def _layout(blocks: list[str], rng: np.random.RandomState) -> str:
         }[kind]()
         return f'<{tag}{attr} data-y="0">{inner}</{tag}>'
 
+    def loose_article() -> str:
+        lines = [f'{esc(pick())} <a href="x">{esc(short())}</a> {esc(short())}' if chance(0.2) else esc(pick()) for _ in range(rng.randint(1, 6))]
+        return f'<x-loose data-y="1">{"<br><br>".join(lines)}</x-loose>'
+
+    def loose_rest() -> str:
+        inner = (
+            f"&copy; {esc(short())}" if chance(0.3) else f'<a href="/">{esc(short())}</a>' if chance(0.3)
+            else " | ".join(f'<a href="/{i}">{esc(short())}</a>' for i in range(rng.randint(2, 8))) if chance(0.6) else esc(short())
+        )
+        return f'<x-loose data-y="0">{inner}</x-loose>'
+
     body = [f"<h1>{esc(short())}</h1>"] if chance(0.8) else []
+    if bare:
+        body.append(loose_article())
     for _ in range(rng.randint(1, 12)):
         kind = rng.random_sample()
+        if bare and chance(0.4):
+            body.append(loose_article())
+            continue
         body.append(
             f"<h2>{esc(short())}</h2>" if kind < 0.1 else f"<ul><li>{esc(pick())}</li><li>{esc(short())}</li></ul>" if kind < 0.17
             else f"<blockquote>{paragraph()}</blockquote>" if kind < 0.22 else f"<pre>{esc(pick())}</pre>" if kind < 0.25
@@ -353,6 +407,11 @@ def _layout(blocks: list[str], rng: np.random.RandomState) -> str:
     above = [region(k) for k in ("menu", "head", "notice", "ad", "form") if chance(0.45)]
     below = [region(k) for k in ("side", "ad", "comment", "form", "notice", "foot", "menu") if chance(0.4)]
     rng.shuffle(above)
+    if bare:
+        article = inner if chance(0.8) else article
+        above, below = ([], []) if chance(0.2) else (above, below)
+        above.insert(rng.randint(len(above) + 1), loose_rest()) if chance(0.5) else None
+        below.append(loose_rest()) if chance(0.5) else None
     page = "".join(above) + article + "".join(below)
     return f'<html data-y="1"><body data-y="1">{page if chance(0.85) else page[: max(40, int(len(page) * rng.random_sample()))]}'
 
@@ -369,8 +428,9 @@ def fit(pages: DataFrame, max_pages: int = MAX_PAGES, layouts: int = 600) -> Boo
     rng = np.random.RandomState(11)
     blocks = blocks or ["text"]
     x, y = [], []
-    for _ in range(layouts):
-        page = Page(_layout(blocks, rng))
+    for i in range(layouts + layouts // 2):
+        page = Page(_layout(blocks, rng, bare=i >= layouts))
+        page.tag = ["#text" if t == "x-loose" else t for t in page.tag]
         label = [1.0] * len(page.tag)
         for i in range(1, len(page.tag)):
             label[i] = float(page.label[i]) if page.label[i] is not None else label[page.parent[i]]

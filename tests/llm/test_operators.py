@@ -443,6 +443,35 @@ def test_op1_extraction(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_op1_loose_article_and_kept_elements(spark):
+    long = [" ".join(VOCAB[i] for i in np.random.RandomState(k).randint(0, 400, 60)) + "." for k in range(4)]
+    menu = '<nav class="menu"><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+    pages = [
+        f"<html><body><h1>Title</h1>{long[0]}<br><br>{long[1]}</body></html>",
+        f"<html><body>{menu}{long[0]}<br><br>{long[1]} <b>bold words</b> go on.<p>{long[2]}</p></body></html>",
+        f"<html><body>{menu}<article><h1>Title</h1><p>{long[0]} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><xmp>{long[1]} a<b</xmp>"
+        f'<p>{long[2]} <object data="x"><param name="a">{long[3]}</object></p></article></body></html>',
+        f"{long[0]} <b>bold</b>",
+    ]
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate([*pages, *[PAGE.replace("Third", f"Third {i}") for i in range(12)]])], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got[0] == f"Title {long[0]} {long[1]}"
+    assert got[1] == f"{long[0]} {long[1]} bold words go on. {long[2]}"
+    assert got[2] == f"Title {long[0]} x=1 {long[1]} a<b {long[2]} {long[3]}"
+    assert got[3] == f"{long[0]} bold"
+
+
+def test_op1_loose_text_is_scored():
+    page = html_extract.Page('<body><a href="/">Skip</a><h1>T</h1>one<br>two <i>three</i><hr>four<p>five</p></body>')
+    assert page.tag == ["#page", "body", "#text", "a", "h1", "#text", "i", "#text", "p"]
+    kept = np.array([t not in ("a", "h1") for t in page.tag])
+    assert html_extract.main_text(page, kept) == "one two three four five"
+    kept[2:] = [t == "p" for t in page.tag[2:]]
+    assert html_extract.main_text(page, kept) == "five"
+    kept[2:] = False
+    assert html_extract.main_text(page, kept) == "Skip one two three four"
+
+
 def test_op1_decoding_is_consistent():
     page = html_extract.Page(PAGE)
     kept = html_extract.decode(page, rng.normal(0, 1, len(page.tag)))
