@@ -37,10 +37,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, copies included, placed in sequences of 2048 tokens."""
+    """Pieces of all documents, copies included, with their token ids, placed in sequences of 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID, added_tokens=True)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID, with_ids=True, added_tokens=True)
 
 
 STAGES = [

@@ -8,9 +8,10 @@ with the least free space that takes it, and when a new sequence is needed and
 none may be opened, the fullest closes first.
 
 What is still open at a task's end is packed once more: the pieces of those
-sequences (at most open_bins per task) are dealt to a few tasks, longest first,
-and packed there the same way. So open sequences are lost to only one task in
-`fan_in`. The digests of pieces are written once in between; a retried task
+sequences (at most open_bins per task) are dealt to a few tasks and packed there
+by best-fit decreasing: longest first, with no bound on the open sequences, which
+the size of a deal bounds (fan_in * open_bins * 4 pieces on average). So open
+sequences are lost to only one task in `fan_in`. The digests of pieces are written once in between; a retried task
 gives the same rows.
 
 Defined cases: null text is empty and is one piece of one id; rows that repeat
@@ -33,6 +34,7 @@ from reelstats.llm.tables import written
 from reelstats.llm.tokens import CHUNK_BYTES, Encoder
 
 LENGTH = 2048
+HELD_BYTES = 32 << 20
 OPEN_BINS = 512
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -91,7 +93,7 @@ def _packed(length: int, open_bins: int, first_bin: int, leave_open: bool):
         fit = BestFit(length, open_bins)
         # rows wait until their bin closes; only the open bins' rows stay
         kept: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
-        held = 0
+        held = held_bytes = 0
 
         def out(batch, bins, offsets, open_):
             seq = pa.array(base + bins, pa.int64(), mask=open_ if leave_open else None)
@@ -105,7 +107,8 @@ def _packed(length: int, open_bins: int, first_bin: int, leave_open: bool):
                 continue
             kept.append((batch, bins, offsets))
             held += len(bins)
-            if held > 64 * open_bins:
+            held_bytes += batch.nbytes
+            if held > 64 * open_bins or held_bytes > HELD_BYTES:
                 table = pa.Table.from_batches([k[0] for k in kept]).combine_chunks().to_batches()[0]
                 bins, offsets = np.concatenate([k[1] for k in kept]), np.concatenate([k[2] for k in kept])
                 open_ = np.isin(bins, np.fromiter(fit.free, np.int64, len(fit.free)))
@@ -113,7 +116,7 @@ def _packed(length: int, open_bins: int, first_bin: int, leave_open: bool):
                     done = table.filter(pa.array(~open_))
                     yield out(done, bins[~open_], offsets[~open_], np.zeros(done.num_rows, bool))
                 kept = [(table.filter(pa.array(open_)), bins[open_], offsets[open_])]
-                held = int(open_.sum())
+                held, held_bytes = int(open_.sum()), 0
         still = np.fromiter(fit.free, np.int64, len(fit.free))
         for batch, bins, offsets in kept:
             yield out(batch, bins, offsets, np.isin(bins, still))

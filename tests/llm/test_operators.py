@@ -324,6 +324,15 @@ def test_op7_packing(docs, none, odd):
     assert packing.pack_documents(odd, path, 0).count() == 5
 
 
+def test_pipeline_packs_the_ids(spark, docs):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    rows = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert all(len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in rows)
+    assert {r["doc_id"] for r in rows} == {r[0] for r in ROWS}
+
+
 def test_best_fit_closes_the_fullest():
     fit = packing.BestFit(10, 2)
     assert fit.add(7) == (0, 0) and fit.add(6) == (1, 0)
