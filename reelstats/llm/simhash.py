@@ -24,6 +24,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -90,18 +91,36 @@ def distance(a_hi, a_lo, b_hi, b_lo) -> Column:
     return F.bit_count(F.col(a_hi).bitwiseXOR(F.col(b_hi))) + F.bit_count(F.col(a_lo).bitwiseXOR(F.col(b_lo)))
 
 
+def _range_of(edges: list[int]) -> Column:
+    """How many of the ascending edges are not above _id, looked up in runs of about the root of their number."""
+    if not edges:
+        return F.lit(0).cast("long")
+    run = math.isqrt(len(edges) - 1) + 1
+    runs = [edges[i : i + run] for i in range(0, len(edges), run)]
+
+    def longs(values: list[int]) -> str:
+        # the smallest long has no literal of its own
+        return "array(" + ",".join(f"cast('{v}' as bigint)" for v in values) + ")"
+
+    at = f"size(filter({longs([r[0] for r in runs])}, e -> e <= _id))"
+    inside = f"size(filter(element_at(array({','.join(map(longs, runs))}), {at}), e -> e <= _id))"
+    return F.expr(f"cast(case when _id < cast('{edges[0]}' as bigint) then 0 else ({at} - 1) * {run} + {inside} end as long)")
+
+
 def _ordered(slim: DataFrame, ids_per_bucket: int) -> DataFrame:
     """_id, _th and the next row's _n_id, _n_th, in ascending (_id, _th) order (after the last: the first).
 
-    Ids fall into equal ranges, a window runs inside each, and the first row of
-    every range (a small table) links one range to the next.
+    Ids fall into ranges of about ids_per_bucket rows each, cut at quantiles of
+    the ids; a window runs inside each, and the first row of every range (a small
+    table) links one range to the next.
     """
     known = F.col("_id") != NULL_ID
-    low, high, n = slim.agg(F.min(F.when(known, F.col("_id"))), F.max(F.when(known, F.col("_id"))), F.count(F.lit(1))).first()
-    buckets = max(1, -(-(n or 0) // ids_per_bucket))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // buckets))
-    # floor((id - low) / width) without overflow: ranges are counted from 0
-    slim = slim.withColumn("_b", F.when(~known, F.lit(-1).cast("long")).otherwise(F.expr(f"cast((cast(_id as decimal(20,0)) - {low or 0}) / {width} as long)")))
+    buckets = max(1, -(-slim.count() // ids_per_bucket))
+    edges = []
+    if buckets > 1:
+        ranks = [i / buckets for i in range(1, buckets)]
+        edges = sorted(set(slim.where(known).agg(F.percentile_approx("_id", ranks, max(10_000, 10 * buckets))).first()[0] or []))
+    slim = slim.withColumn("_b", F.when(~known, F.lit(-1).cast("long")).otherwise(_range_of(edges)))
     inside = W.partitionBy("_b").orderBy("_id", "_th")
     rows = slim.withColumn("_n", F.lead(F.struct("_id", "_th")).over(inside))
     over_buckets = W.orderBy("_b")

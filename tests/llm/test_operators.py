@@ -215,6 +215,18 @@ def test_op6_votes_match_the_definition(spark):
         assert bits == got & (2**64 - 1)
 
 
+def test_op6_ranges_follow_the_ids(spark):
+    ids = [1, -(2**63) + 1, *[10**18 + 7 * n for n in range(5000)]]
+    slim = spark.createDataFrame([(i, i % 13) for i in ids], "_id long, _th long")
+    got = {r["_id"]: r["_n_id"] for r in simhash._ordered(slim, 100).collect()}
+    order = sorted(ids)
+    assert got == dict(zip(order, [*order[1:], order[0]]))
+    edges = sorted(slim.agg(F.percentile_approx("_id", [i / 51 for i in range(1, 51)], 10_000)).first()[0])
+    ranges = slim.select("_id", simhash._range_of(edges).alias("b")).collect()
+    assert {r["_id"]: r["b"] for r in ranges} == {i: int(np.searchsorted(np.array(edges), i, side="right")) for i in ids}
+    assert max(Counter(r["b"] for r in ranges).values()) <= 200
+
+
 def test_op6_radius_search(spark):
     base = [int(x) for x in rng.randint(-(2**62), 2**62, 30)]
     rows = [(a, b) for a, b in zip(base, reversed(base))]
