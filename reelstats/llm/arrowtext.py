@@ -66,12 +66,15 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
-def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, words per row) of every word; row boundaries end a word."""
+def words(buf: np.ndarray, off: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, words per row) of every word; row boundaries end a word.
+
+    inside: 256 flags of the bytes that words are made of (default: all but white space).
+    """
     n = len(buf)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off) - 1, np.int64)
-    ink = ~_WS[buf]
+    ink = ~_WS[buf] if inside is None else inside[buf]
     first = np.zeros(n + 1, bool)
     first[off] = True
     before = np.empty(n, bool)
@@ -85,6 +88,15 @@ def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.diff(np.searchsorted(start, off))
 
 
+def word_array(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.LargeBinaryArray:
+    """The byte spans as an Arrow array, for exact look-ups and dictionaries."""
+    length = end - start
+    off = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(length, out=off[1:])
+    data = np.ascontiguousarray(buf[flat(start, length)])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(data)])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> U64(32))
     x *= _M1

@@ -1,10 +1,11 @@
-"""Registered queries op1_ to op10_ (spark, sf_dir) -> DataFrame, and their DuckDB SQL where it exists."""
+"""Registered queries op1_ to op13_ (spark, sf_dir) -> DataFrame, and their DuckDB SQL where it exists."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstats.llm import (
+    decontaminate,
     fm_dedup,
     html_extract,
     line_dedup,
@@ -73,9 +74,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
-    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing,
+    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing, op13_decontamination,
 )}
 
 ORACLES = {
@@ -83,4 +88,5 @@ ORACLES = {
     "op5_ngram_jaccard": sql.NGRAM_JACCARD,
     "op9_line_dedup": sql.LINE_DEDUP,
     "op10_source_mixing": sql.SOURCE_MIXING,
+    "op13_decontamination": sql.DECONTAMINATION,
 }

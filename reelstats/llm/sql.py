@@ -101,3 +101,32 @@ WITH RECURSIVE texts AS (
 SELECT texts.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id
 FROM texts JOIN component ON component.x = texts.doc_id LEFT JOIN sizes ON sizes.doc_id = texts.doc_id
 """
+
+DECONTAMINATION = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), item_words AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS size, list_slice(ws, i, i + least(len(ws), 10) - 1) AS win
+  FROM item_words, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS i) WHERE len(ws) > 0
+), sizes AS (
+  SELECT DISTINCT size FROM item_windows
+), doc_windows AS (
+  SELECT r, size, i, list_slice(ws, i, i + size - 1) AS win
+  FROM lowered, sizes, LATERAL (SELECT unnest(range(1, len(ws) - size + 2)) AS i) WHERE len(ws) >= size
+), found AS (
+  SELECT r, i, d.size, item FROM doc_windows d JOIN item_windows b ON d.win = b.win
+), hit AS (
+  SELECT r, count(DISTINCT i + k)::BIGINT AS n_hit FROM (SELECT DISTINCT r, i, size FROM found), LATERAL (SELECT unnest(range(0, size)) AS k) GROUP BY r
+), held AS (
+  SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
+"""
