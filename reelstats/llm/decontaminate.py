@@ -211,7 +211,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents, all columns, in which no window of a benchmark item occurs."""
-    return find_passages(docs, benchmark, size).where("not contaminated").select(docs.columns)
+    whole = docs.select("text", F.struct("*").alias("document"))
+    return find_passages(whole, benchmark, size).where("not contaminated").select("document.*")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from reelstats.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     simhash,
@@ -74,13 +75,17 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
-    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing, op13_decontamination,
+    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing, op12_periodic_runs, op13_decontamination,
 )}
 
 ORACLES = {
