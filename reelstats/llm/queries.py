@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstats.llm import (
+    conversation_trie,
     decontaminate,
     fm_dedup,
     html_extract,
@@ -75,6 +76,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"), openings=True)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
@@ -85,7 +90,8 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_token_files, op3_quality_classifier, op4_substring_dedup, op5_ngram_jaccard, op6_simhash,
-    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing, op12_periodic_runs, op13_decontamination,
+    op7_best_fit_packing, op8_quality_rules, op9_line_dedup, op10_source_mixing,
+    op11_conversation_trie, op12_periodic_runs, op13_decontamination,
 )}
 
 ORACLES = {
@@ -93,5 +99,6 @@ ORACLES = {
     "op5_ngram_jaccard": sql.NGRAM_JACCARD,
     "op9_line_dedup": sql.LINE_DEDUP,
     "op10_source_mixing": sql.SOURCE_MIXING,
+    "op11_conversation_trie": sql.CONVERSATION_TRIE,
     "op13_decontamination": sql.DECONTAMINATION,
 }

@@ -130,3 +130,45 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM lowered LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
 """
+
+#: crc32 of a decimal number: fold over its bytes, eight shifts each.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT)"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS o
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS lender, {_CRC32} % 6 AS h FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT c.conv_id, t.o AS place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.lender AND t.o < c.h
+  UNION ALL
+  SELECT c.conv_id, t.o - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.o >= c.h LEFT JOIN convs b ON b.conv_id = c.lender
+), listed AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS s FROM rebuilt GROUP BY conv_id
+), whole AS (
+  SELECT c.conv_id, coalesce(s, []) AS s FROM convs c LEFT JOIN listed USING (conv_id)
+), paths AS (
+  SELECT conv_id, d, list_slice(s, 1, d) AS k, CASE WHEN d > 0 THEN length(s[d].text) ELSE 0 END AS n_chars, len(s) AS total
+  FROM whole, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d)
+), nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_chars) AS n_chars,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = total), '') AS ends
+  FROM paths GROUP BY k, d
+), children AS (
+  SELECT list_slice(k, 1, d - 1) AS k, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), linked AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN children c ON n.k = c.k AND n.d = c.d
+  LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = list_slice(n.k, 1, n.d - 1)
+), summed AS (
+  SELECT p.k, p.d, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.n_chars) AS saved_tokens
+  FROM linked u JOIN paths p ON p.conv_id = u.conv_id AND p.d <= u.d GROUP BY p.k, p.d
+)
+SELECT l.conv_id, l.d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+FROM linked l JOIN summed s ON l.k = s.k AND l.d = s.d
+"""
