@@ -16,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once under the shared folder and read back: a lineage cut that survives lost executors."""
+def written(df: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
+    """The rows, written once under the shared folder and read back: a lineage cut that survives lost executors.
+
+    row_group_bytes bounds what a writing task buffers, for wide rows.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group_bytes) if row_group_bytes else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -336,6 +336,19 @@ def test_op7_packing(docs, none, odd):
     assert packing.pack_documents(odd, path, 0).count() == 5
 
 
+def test_op7_fills_its_sequences(spark):
+    """At most 1 % more sequences than the ids need, and one open sequence, over many first-level tasks."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    one = packing.pack_documents(docs.repartition(16, "doc_id"), path, 0, open_bins=32, with_ids=True).cache()
+    need = -(-one.agg(F.sum("length")).first()[0] // 2048)
+    assert one.select("sequence_id").distinct().count() <= 1.01 * need + 1
+    full = one.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.min("offset").alias("a"), F.max(F.col("offset") + F.col("length")).alias("b"), F.count_distinct("offset").alias("k"), F.count(F.lit(1)).alias("c"))
+    assert full.where("n > 2048 or a <> 0 or b <> n or k <> c").isEmpty()
+    assert one.where("size(ids) <> length").isEmpty()
+
+
 def test_pipeline_packs_the_ids(spark, docs):
     pytest.importorskip("public_tokenizers")
     import corpus_pipeline
