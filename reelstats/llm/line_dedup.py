@@ -16,9 +16,10 @@ Two passes over the texts:
    document of every confirmed key. That table is written too: the join that
    finds the suspects of other documents then has two plain shuffles as inputs,
    so AQE splits a hot line's suspects over several tasks.
-A false hit only adds a suspect, never a dropped line. The filter has a fixed
-size: with far more distinct lines than `filter_bits` / 8 more lines are
-suspected and shuffled; raise the parameter there.
+A false hit only adds a suspect, never a dropped line. The filter has at least 8
+bits for every distinct line, by an approximate count of them beforehand, and at
+most MAX_FILTER_BITS (128 MiB), which bounds the broadcast. Beyond some 1.3 * 10^8
+distinct lines more and more unrepeated lines are suspected and shuffled.
 
 Defined cases: a null doc_id is one document, before all others; rows that
 share a doc_id are one document; empty tables give empty results; other
@@ -40,7 +41,8 @@ from reelstats.llm import arrowtext as at
 from reelstats.llm.tables import NULL_ID, id_key, written
 
 MIN_KEY = 10
-FILTER_BITS = 1 << 26
+LEAST_FILTER_BITS = 1 << 23
+MAX_FILTER_BITS = 1 << 30
 SEGMENT_BITS = 1 << 21
 _WS = " \t\n\x0b\x0c\r"
 _CUT = re.compile(r"[^\n]*")
@@ -67,7 +69,15 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, str]]:
         yield i, text.as_py() or ""
 
 
-def twice_seen_filter(docs: DataFrame, filter_bits: int = FILTER_BITS) -> np.ndarray:
+def fitting_filter_bits(docs: DataFrame) -> int:
+    """Filter size for the table's distinct lines (approximate count; keys are lines without their blanks)."""
+    line = F.explode(F.split(F.col("text"), "\n", -1)).alias("line")
+    keys = docs.select(line).select(F.trim("line").alias("line")).where(F.length("line") >= MIN_KEY)
+    distinct = keys.agg(F.approx_count_distinct(F.xxhash64("line"), 0.05)).first()[0]
+    return min(MAX_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (8 * int(distinct)).bit_length()))
+
+
+def twice_seen_filter(docs: DataFrame, filter_bits: int) -> np.ndarray:
     """The merged twice-seen filter as a packed bit array of filter_bits / 8 bytes."""
     segment = min(SEGMENT_BITS, filter_bits)
 
@@ -117,8 +127,9 @@ def twice_seen_filter(docs: DataFrame, filter_bits: int = FILTER_BITS) -> np.nda
     return whole
 
 
-def confirmed_lines(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+def confirmed_lines(docs: DataFrame, filter_bits: int | None = None) -> DataFrame:
     """(_line_doc, _line_keys): the repeated keys each document has to drop."""
+    filter_bits = filter_bits or fitting_filter_bits(docs)
     shared = docs.sparkSession.sparkContext.broadcast(twice_seen_filter(docs, filter_bits))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +155,7 @@ def confirmed_lines(docs: DataFrame, filter_bits: int = FILTER_BITS) -> DataFram
     )
 
 
-def drop_repeated_lines(docs: DataFrame, filter_bits: int = FILTER_BITS, digest: bool = False) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, filter_bits: int | None = None, digest: bool = False) -> DataFrame:
     """The documents with their repeated lines dropped and n_chars brought up to date.
 
     digest=True gives doc_id, n_lines, n_dropped, kept_sha256 instead.
