@@ -414,20 +414,19 @@ def prefix_trie(conversations: DataFrame, openings: bool = False, part_nodes: in
     turnless = convs.where("total = 0").select(zero.alias("key1"), zero.alias("key2"), "conv_id")
     ends = written(end_digests(paths.where("depth = total").select(*KEY, "conv_id").unionByName(turnless)), "trie-ends")
     none = F.lit(hashlib.sha256(b"").hexdigest())
-    root = convs.agg(F.min("conv_id").alias("root"), F.count(F.lit(1)).alias("n"))
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    root, members = convs.agg(F.min("conv_id"), F.count(F.lit(1))).first()
+    at_root = ends.where("key1 = 0 and key2 = 0").agg(F.max("ends_sha256")).first()[0]
     body = (
-        nodes.join(sums, KEY).join(ends, KEY, "left").crossJoin(F.broadcast(root))  # one row
-        .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.col("root")).otherwise(F.col("parent_conv_id")))
+        nodes.join(sums, KEY).join(ends, KEY, "left")
+        .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.lit(root).cast("long")).otherwise(F.col("parent_conv_id")))
         .withColumn("ends_sha256", F.coalesce("ends_sha256", none)).select(columns)
     )
     # the root's sums are the totals of its components
-    totals = nodes.where("depth = 1").join(sums, KEY).agg(
+    top = nodes.where("depth = 1").join(sums, KEY).agg(
         F.count(F.lit(1)).alias("n_children"), F.greatest(F.coalesce(F.sum("n_leaves"), zero), F.lit(1)).alias("n_leaves"), F.coalesce(F.sum("saved_tokens"), zero).alias("saved_tokens")
-    )
-    top = (
-        root.crossJoin(totals).where("n > 0")  # one row each
-        .join(ends.where("key1 = 0 and key2 = 0").select("ends_sha256"), F.lit(True), "left")  # at most one row
-        .select(F.col("root").alias("conv_id"), zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), F.col("n").alias("n_convs"), "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", none).alias("ends_sha256"))
+    ).where(F.lit(members > 0)).select(
+        F.lit(root).cast("long").alias("conv_id"), zero.alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), F.lit(members).cast("long").alias("n_convs"),
+        "n_children", "n_leaves", "saved_tokens", F.coalesce(F.lit(at_root).cast("string"), none).alias("ends_sha256"),
     )
     return body.unionByName(top.select(columns))
