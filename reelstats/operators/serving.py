@@ -138,8 +138,12 @@ def user_top_recommendations(recs: DataFrame, movies: DataFrame, k: int = 5,
         top = top.withColumn("_newest", newest).where(F.col("batch_id") == F.col("_newest")).drop("_newest")
     else:
         top = top_k_per_key(cols, "userId", by_score, k)
-    top = lookup_movies(top, movies, ["title", "genres"], hot_rows)
-    return top.select(
+    return serve_recommendations(lookup_movies(top, movies, ["title", "genres"], hot_rows))
+
+
+def serve_recommendations(ranked: DataFrame) -> DataFrame:
+    """Ranked recommendations with the catalogue's title and genres, as the page shows them."""
+    return ranked.select(
         "userId",
         "rank",
         "movieId",

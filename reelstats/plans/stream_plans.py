@@ -21,7 +21,8 @@ from reelstats.session import scratch_path
 from reelstats.sinks import writers
 from reelstats.sources import fixtures
 from reelstats.sources.tables import read_table
-from reelstats.streaming import decode, runner
+from reelstats.plans.serving_plans import TOP_RECOMMENDATIONS_SQL, stand_in_recommendations
+from reelstats.streaming import decode, latest, runner
 from reelstats.streaming.recommend import parquet_batch_writer, recommendation_batch_handler
 
 STREAM_K = 5
@@ -104,6 +105,19 @@ def stream_served_recommendations(spark, sf_dir):
     return served.select("userId", "rank")
 
 
+@register("stream_newest_recommendations", TOP_RECOMMENDATIONS_SQL)
+def stream_newest_recommendations(spark, sf_dir):
+    """Recommendations of all batches through the keyed state, the odd batches first, the even ones
+    after a restart (so that some come late), then served from the state."""
+    out = scratch_path(spark, "newest")
+    recs = stand_in_recommendations(spark, sf_dir)
+    for half in (1, 0):
+        recs.where(F.col("batch_id") % 2 == half).write.mode("append").parquet(f"{out}/recs")
+        arrived = spark.readStream.schema(recs.schema).parquet(f"{out}/recs")
+        runner.drain(latest.start_newest(arrived, f"{out}/_ckpt", STREAM_K, trigger=AVAILABLE_NOW))
+    return latest.serve_newest(spark, f"{out}/_ckpt", inputs.kept_movies(spark, sf_dir))
+
+
 @register(
     "stream_text_passthrough",
     with_fixtures("SELECT CAST(event_id AS VARCHAR) AS key, props AS value FROM events"),
