@@ -6,7 +6,10 @@ hash aggregate), whatever the number of columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from typing import Any
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,6 +92,20 @@ def null_nan_profile(df: DataFrame) -> DataFrame:
     return df.select([F.count(F.when(is_missing(f), F.lit(1))).alias(f.name) for f in df.schema.fields])
 
 
+def profile_while_writing(df: DataFrame, write: Callable[[DataFrame], Any]) -> DataFrame:
+    """The row of `null_nan_profile` and n_rows, counted by the write of df itself instead of another pass.
+
+    write gets the watched DataFrame and has to write it whole, once. Rows are
+    counted as they pass, so a task that runs again doesn't count twice.
+    """
+    seen = Observation()
+    counts = [F.count(F.when(is_missing(f), F.lit(1))).alias(f.name) for f in df.schema.fields]
+    write(df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts))
+    found = seen.get
+    names = ["n_rows", *df.columns]
+    return df.sparkSession.createDataFrame([tuple(found[n] for n in names)], T.StructType([T.StructField(n, T.LongType()) for n in names]))
+
+
 def distinct_count(df: DataFrame, column: str) -> DataFrame:
     """Number of distinct values, NULL counted as a value (like distinct().count())."""
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))

@@ -12,11 +12,15 @@ from reelstats.plans.oracle import enriched_ctes, with_fixtures
 from reelstats.plans.prepare_plans import MIN_MOVIE, MIN_USER
 from reelstats.plans.registry import register
 from reelstats.session import scratch_path
-from reelstats.sinks import writers
+from reelstats.sinks import refresh, writers
 from reelstats.sources import files
 
 ENRICHED = enriched_ctes(MIN_MOVIE, MIN_USER)
 FIRST_USERS = 1000
+ENRICHED_COLUMNS = (
+    "userId", "movieId", "rating", "timestamp", "rating_date", "rating_year", "rating_month", "rating_day", "user_rating_count",
+    "title", "genres", "year", "genre_count", "rating_count", "avg_rating", "num_ratings", "user_total_ratings", "user_avg_rating",
+)
 REFERENCE_SAMPLE_CAP = 1_000_000
 
 
@@ -29,6 +33,25 @@ def enriched_parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register(
+    "enriched_profile_on_write",
+    with_fixtures(
+        ENRICHED + " SELECT COUNT(*) AS n_rows, "
+        + ", ".join(
+            f"COUNT(*) FILTER (WHERE {c} IS NULL{f' OR isnan({c})' if c in ('rating', 'avg_rating', 'user_avg_rating') else ''}) AS {c}"
+            for c in ENRICHED_COLUMNS
+        )
+        + " FROM en"
+    ),
+)
+def enriched_profile_on_write(spark, sf_dir):
+    """Rows and NULL or NaN values per column of the enriched ratings, counted while they are written."""
+    return profile.profile_while_writing(
+        inputs.enriched(spark, sf_dir),
+        lambda df: writers.write_partitioned_parquet(df, scratch_path(spark, "enriched"), ["rating_year", "rating_month"]),
+    )
+
+
 @register("movies_parquet_roundtrip", with_fixtures(ENRICHED + " SELECT * FROM ms"))
 def movies_parquet_roundtrip(spark, sf_dir):
     """Kept movies written as 50 Parquet files, with a fallback location."""
@@ -110,3 +133,12 @@ def ratings_sample_capped(spark, sf_dir):
     """Row count of the capped sample: min(rows, cap)."""
     return profile.row_count(files.sample_capped(inputs.ratings(spark, sf_dir), REFERENCE_SAMPLE_CAP))
 
+
+
+@register("movies_collection_refresh", with_fixtures(ENRICHED + " SELECT * FROM ms"))
+def movies_collection_refresh(spark, sf_dir):
+    """The movie collection refreshed as a whole, twice, and read back as of its last refresh."""
+    path, movies = scratch_path(spark, "movie-collection"), inputs.kept_movies(spark, sf_dir)
+    refresh.refresh_collection(movies.where("movieId % 2 = 0"), path)
+    refresh.refresh_collection(movies, path)
+    return refresh.read_collection(spark, path)

@@ -19,7 +19,7 @@ from reelstats.plans.registry import register
 from reelstats.functions.columns import epoch_seconds
 from reelstats.session import scratch_path
 from reelstats.sinks import writers
-from reelstats.sources import fixtures
+from reelstats.sources import fixtures, message_log
 from reelstats.sources.tables import read_table
 from reelstats.plans.serving_plans import TOP_RECOMMENDATIONS_SQL, stand_in_recommendations
 from reelstats.streaming import decode, latest, runner
@@ -151,6 +151,48 @@ def stream_progress(spark, sf_dir):
     return spark.createDataFrame([(total,)], "total_input_rows long")
 
 
+@register(
+    "stream_malformed_messages",
+    with_fixtures("SELECT COUNT(*) AS n_messages, COUNT(*) FILTER (WHERE event_type = 'error') AS n_malformed FROM events"),
+)
+def stream_malformed_messages(spark, sf_dir):
+    """Messages and malformed ones, counted while the stream writes its valid events."""
+    out = scratch_path(spark, "counted")
+    with runner.progress_totals(spark) as log:
+        events = decode.valid_events(decode.counted(_decoded_stream(spark, sf_dir)))
+        q = runner.start_sink(events, "parquet", checkpoint=f"{out}/_ckpt", path=f"{out}/data", trigger=AVAILABLE_NOW)
+        runner.drain(q)
+        found = log.observed(q, decode.MESSAGE_COUNTS)
+    return spark.createDataFrame([(found["n_messages"], found["n_malformed"])], "n_messages long, n_malformed long")
+
+
+OFFSET_CAP = 700
+
+
+@register(
+    "stream_offset_batches",
+    f"SELECT (rn - 1) // {OFFSET_CAP} AS batch_id, COUNT(*) AS n_rows, MIN(rn - 1) AS first_offset, MAX(rn - 1) AS last_offset, "
+    "SUM(event_id)::BIGINT AS event_ids FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events) e GROUP BY ALL",
+)
+def stream_offset_batches(spark, sf_dir):
+    """The events as a message table, read from the earliest offset in batches of an exact number of rows."""
+    out = scratch_path(spark, "offsets")
+    events = read_table(spark, sf_dir, "events")
+    messages = events.select(F.col("event_id").cast("string").alias("key"), F.col("props").alias("value"), "event_id")
+    message_log.append_messages(messages, f"{out}/log", [F.asc("event_id")])
+
+    def handle(batch, batch_id):
+        counts = batch.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.sum(F.col("key").cast("long")).alias("event_ids")
+        )
+        counts.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+
+    stream = message_log.read_messages(spark, f"{out}/log", f"{out}/_ckpt", "earliest", OFFSET_CAP)
+    q = runner.start_foreach_batch(stream, handle, f"{out}/_ckpt", trigger={"processingTime": "0 seconds"})
+    runner.catch_up(q)
+    return spark.read.parquet(f"{out}/data").drop("batch")
+
+
 @register(
     "publish_json_messages",
     with_fixtures(

@@ -55,6 +55,17 @@ def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQue
     return query
 
 
+def catch_up(query: StreamingQuery) -> StreamingQuery:
+    """Wait until a running query has processed all that its sources hold, then stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        stop(query)
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
 def stop(query: StreamingQuery) -> None:
     if query.isActive:
         query.stop()
@@ -75,9 +86,13 @@ class ProgressTotals(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = event.progress
         with self._changed:
-            run = self._runs.setdefault(str(p.runId), {"batches": 0, "input_rows": 0, "last": None})
+            run = self._runs.setdefault(str(p.runId), {"batches": 0, "input_rows": 0, "last": None, "observed": {}})
             if p.batchId != run["last"]:  # an idle trigger reports the next batch without rows
                 run["batches"] += p.numInputRows > 0
+                for name, counts in p.observedMetrics.items() if p.numInputRows > 0 else ():
+                    total = run["observed"].setdefault(name, {})
+                    for metric, value in counts.asDict().items():
+                        total[metric] = total.get(metric, 0) + (value or 0)
                 run["last"] = p.batchId if p.numInputRows > 0 else run["last"]
             run["input_rows"] += p.numInputRows
 
@@ -98,6 +113,12 @@ class ProgressTotals(StreamingQueryListener):
             found = self._runs.get(run, {"batches": 0, "input_rows": 0})
             return {"batches": found["batches"], "input_rows": found["input_rows"]}
 
+    def observed(self, query: StreamingQuery, name: str, timeout_s: float = 60.0) -> dict:
+        """Sums over all batches of an ended query of the counts watched under this name (`DataFrame.observe`)."""
+        self.totals(query, timeout_s)
+        with self._changed:
+            return dict(self._runs.get(str(query.runId), {"observed": {}})["observed"].get(name, {}))
+
 
 @contextmanager
 def progress_totals(spark: SparkSession) -> Iterator[ProgressTotals]:
