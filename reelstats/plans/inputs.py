@@ -8,6 +8,7 @@ defaults stay the reference's.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelstats.operators import prepare
 from reelstats.sources import fixtures
@@ -43,6 +44,12 @@ def active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.ratings_active_users(clean(spark, sf_dir), QUERY_MIN_USER_RATINGS)
 
 
+def active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(userId, user_rating_count, user_avg_rating) of the users of `active`, without a join with the ratings."""
+    stats = prepare.user_rating_stats(clean(spark, sf_dir))
+    return stats.where(F.col("user_rating_count") >= QUERY_MIN_USER_RATINGS)
+
+
 def kept_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean movies with features and enough support (the movie catalogue), built
     exactly as inside the enrichment so that a query using both shares the plan."""

@@ -112,7 +112,7 @@ def first_users_ratings_documents(spark, sf_dir):
     with_fixtures(ENRICHED + " SELECT DISTINCT userId FROM en ORDER BY userId LIMIT 20"),
 )
 def first_user_ids(spark, sf_dir):
-    return serving.first_user_ids(inputs.active(spark, sf_dir), 20)
+    return serving.first_user_ids(inputs.active_users(spark, sf_dir), 20)
 
 
 @register(
