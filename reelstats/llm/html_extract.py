@@ -11,7 +11,7 @@ whole subtree, so no kept node has a dropped ancestor.
 
 There are no labelled pages; the model is fitted on pages laid out from the text
 blocks of a bounded sample of the input (`max_pages` pages chosen by a hash of
-their id) with known regions: article bodies, and menus, headers, footers,
+their id, of a long page its first 200,000 characters) with known regions: article bodies, and menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments, under the usual tags and
 attribute tokens, each left out at random. In further layouts the article lies
 directly in body, partly as loose text, among loose text that isn't part of it.
@@ -23,6 +23,10 @@ comments, titles, frames, drawings and the contents of form fields are never
 text. A formula (math) is text of the node around it. A page without any element
 keeps all its text, and loose text stays where nothing else is left.
 
+A page is read in time linear in its length, whatever its tags: the tag pattern never goes back, and
+what a tag closes is looked up by name. A quote inside a tag that is never closed counts as a plain
+character, so the tag ends at the next > and no text after it is lost (browsers lose it all).
+
 Defined cases: null or empty html gives an empty text; rows with null or
 repeated page_id are taken by themselves, one result row per input row; an
 empty table gives an empty result; other columns are ignored.
@@ -72,9 +76,11 @@ _TAG_REGION = {"nav": 0, "menu": 0, "header": 1, "footer": 2, "aside": 3, "form"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(>|\Z)",
+    # possessive, so that no character is tried twice; a quote that never closes is a character like any other
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(>|\Z)",
     re.S,
 )
+_ENDS = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in ("math", "xmp", *SKIPPED)}
 _ATTR = re.compile(r"(?:^|[\s/])(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I | re.S)
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -93,6 +99,28 @@ class Page:
         self.label: list[str | None] = [None]
         self.runs: list[tuple[int, int, str]] = []
         stack, block, pos, n = [0], 0, 0, len(source)
+        # places on the stack by tag, and of tags that bound what an end tag closes
+        where: dict[str, list[int]] = {}
+        scopes: list[int] = []
+
+        def push(node: int) -> None:
+            name = self.tag[node]
+            where.setdefault(name, []).append(len(stack))
+            if name in _SCOPE:
+                scopes.append(len(stack))
+            stack.append(node)
+
+        def cut(at: int) -> None:
+            while len(stack) > at:
+                name = self.tag[stack.pop()]
+                where[name].pop()
+                if name in _SCOPE:
+                    scopes.pop()
+
+        def past(tag: str) -> tuple[int, int]:
+            """Where an element's raw contents end, and where the page goes on."""
+            end = _ENDS[tag].search(source, pos)
+            return (end.start(), end.end()) if end else (n, n)
 
         def add(tag: str, own: tuple[int, ...] = (), label: str | None = None) -> None:
             self.tag.append(tag)
@@ -104,7 +132,7 @@ class Page:
         def loose() -> None:
             if self.tag[stack[-1]] in FRAME:
                 add("#text")
-                stack.append(len(self.tag) - 1)
+                push(len(self.tag) - 1)
 
         def text(raw: str) -> None:
             if raw:
@@ -131,22 +159,20 @@ class Page:
                     block += tag == "br"
                 elif tag not in SKIPPED:
                     block += 1
-                open_ = [i for i, k in enumerate(stack) if self.tag[k] == tag]
-                if open_ and not (tag in INLINE and any(self.tag[k] in _SCOPE for k in stack[open_[-1] + 1 :])):
-                    del stack[open_[-1] :]
-                if not stack:
-                    stack = [0]
+                open_ = where.get(tag)
+                if open_ and not (tag in INLINE and scopes and scopes[-1] > open_[-1]):
+                    cut(open_[-1])
                 continue
+            closed = m[3].endswith("/") or m[3].rstrip().endswith("/")
             if tag == "math":
-                end = re.compile(r"</math\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
-                if not m[3].rstrip().endswith("/"):
-                    text(_TOKEN.sub(lambda t: html_lib.escape(t[0][9:].removesuffix("]]>")) if t[0].startswith("<![CDATA[") else "", source[pos : end.start() if end else n]))
-                    pos = end.end() if end else n
+                if not closed:
+                    end, to = past(tag)
+                    text(_TOKEN.sub(lambda t: html_lib.escape(t[0][9:].removesuffix("]]>")) if t[0].startswith("<![CDATA[") else "", source[pos:end]))
+                    pos = to
                 continue
             if tag in SKIPPED:
-                end = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
-                if not m[3].rstrip().endswith("/"):
-                    pos = end.end() if end else n
+                if not closed:
+                    pos = past(tag)[1]
                 continue
             if tag == "br":
                 self.runs.append((stack[-1], block, " "))
@@ -154,15 +180,10 @@ class Page:
             if tag not in INLINE:
                 block += 1
                 if self.tag[stack[-1]] == "#text":
-                    stack.pop()
-                closing = _CLOSES.get(tag, set()) | {"p"}
-                for i in range(len(stack) - 1, 0, -1):
-                    name = self.tag[stack[i]]
-                    if name in closing:
-                        del stack[i:]
-                        break
-                    if name in _SCOPE and name not in closing:
-                        break
+                    cut(len(stack) - 1)
+                nearest = max((where[t][-1] for t in (*_CLOSES.get(tag, ()), "p") if where.get(t)), default=0)
+                if nearest and (not scopes or nearest >= scopes[-1]):
+                    cut(nearest)
             if tag in VOID:
                 continue
             if tag in INLINE:
@@ -178,11 +199,9 @@ class Page:
             if tag in _TAG_REGION:
                 own.add(_TAG_REGION[tag])
             add(tag, tuple(own), label)
-            if not m[3].rstrip().endswith("/") or tag not in VOID:
-                stack.append(len(self.tag) - 1)
+            push(len(self.tag) - 1)
             if tag == "xmp":
-                end = re.compile(r"</xmp\s*[^>]*(?:>|\Z)", re.I).search(source, pos)
-                raw = source[pos : end.start() if end else n]
+                raw = source[pos : past(tag)[0]]
                 text(html_lib.escape(raw))
                 pos += len(raw)
 
@@ -417,8 +436,9 @@ def _layout(blocks: list[str], rng: np.random.RandomState, bare: bool = False) -
 
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES, layouts: int = 600) -> BoostedTrees:
-    """Boosted trees from layouts of the text blocks of at most max_pages pages."""
-    sample = pages.where(F.length("html").between(1, MAX_SAMPLE_CHARS)).select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(max_pages)
+    """Boosted trees from layouts of the text blocks of at most max_pages pages, of each its first MAX_SAMPLE_CHARS characters at most."""
+    start = F.substring("html", 1, MAX_SAMPLE_CHARS).alias("html")
+    sample = pages.where(F.length("html") > 0).select("page_id", start).orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(max_pages)
     blocks = []
     for row in sample.toLocalIterator():
         found: dict[int, str] = {}

@@ -522,3 +522,34 @@ def test_registered_queries_match_sql(spark, duck):
         got = QUERIES[name](spark, SMALL_SF_DIR).toPandas().sort_values("doc_id").reset_index(drop=True)
         want = duck.execute(sql).df()[list(got.columns)].sort_values("doc_id").reset_index(drop=True)
         pd.testing.assert_frame_equal(got, want, check_dtype=False)
+
+
+def test_op1_odd_quotes_leave_no_markup():
+    runs = [r[2] for r in html_extract.Page('<p>aaa</p><p class="x>bbb</p><p>ccc</p>').runs]
+    assert runs == ["aaa", "bbb", "ccc"]
+    assert [r[2] for r in html_extract.Page("<p>it's</p><p title='a > b' id=\"c>d\">two</p><p a='>three").runs] == ["it's", "two", "three"]
+
+
+def test_op1_reads_awkward_pages_in_linear_time():
+    """Some 5 MB of odd quotes, 100,000 open elements, tags that close nothing: seconds, not hours."""
+    import time
+
+    pages = {
+        "odd quote": '<p class="a" id="b">x</p>' * 200_000 + '<p class="x>bbb</p><p>ccc</p>', "attributes": "<p " + 'a="b" ' * 500_000 + 'c="d>text</p>',
+        "inline": "<b>" * 100_000 + "x" + "</b>" * 100_000, "nothing to close": "<b>" * 50_000 + "<hr>" * 50_000 + "</i>" * 50_000,
+        "self-closed": "<svg/>" * 200_000, "open raw": "<script>" * 200_000, "lists": "<ul><li>" * 30_000, "half tags": "<a" * 400_000, "quotes": "<p '" * 300_000 + ">",
+    }
+    for name, source in pages.items():
+        began = time.time()
+        page = html_extract.Page(source)
+        x = html_extract.features(page)
+        html_extract.main_text(page, html_extract.decode(page, x[:, 0]))
+        assert time.time() - began < 40, name
+
+
+def test_op1_is_fitted_on_long_pages_too(spark):
+    words = " ".join(f"word{i} of a long page," for i in range(40_000))
+    df = spark.createDataFrame([(i, "u", f"<body><nav><a href='/'>Home</a></nav><article><p>{words[i:]}</p></article></body>") for i in range(3)], "page_id long, url string, html string")
+    assert min(len(r["html"]) for r in df.collect()) > html_extract.MAX_SAMPLE_CHARS
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got == {i: words[i:].strip() for i in range(3)}
