@@ -18,8 +18,8 @@ QUERY_MIN_MOVIE_RATINGS = 25
 QUERY_MIN_USER_RATINGS = 20
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.ratings(spark, sf_dir)
+def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return fixtures.ratings(spark, sf_dir, spread)
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.enriched_ratings(
-        ratings(spark, sf_dir),
+        ratings(spark, sf_dir, spread=True),
         movies(spark, sf_dir),
         min_movie_ratings=QUERY_MIN_MOVIE_RATINGS,
         min_user_ratings=QUERY_MIN_USER_RATINGS,
@@ -36,7 +36,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.shared_clean_ratings(ratings(spark, sf_dir))
+    return prepare.shared_clean_ratings(ratings(spark, sf_dir, spread=True))
 
 
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ ENRICHED_SQL = with_fixtures(enriched_ctes(MIN_MOVIE, MIN_USER) + " SELECT * FRO
 
 
 def _clean_ratings(spark, sf_dir):
-    return prepare.clean_ratings(inputs.ratings(spark, sf_dir))
+    return prepare.clean_ratings(inputs.ratings(spark, sf_dir, spread=True))
 
 
 def _active(spark, sf_dir):

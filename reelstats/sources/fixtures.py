@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstats.sources.tables import read_table
+from reelstats.sources.tables import read_table, spread_scan
 
 RATING_SQL = (
     "CASE WHEN l_partkey % 101 = 0 THEN CAST(NULL AS DOUBLE) "
@@ -42,11 +42,15 @@ MESSAGE_VALUE_SQL = (
 )
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`ratings(userId int, movieId int, rating double, timestamp timestamp_ntz)`."""
+def ratings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """`ratings(userId int, movieId int, rating double, timestamp timestamp_ntz)`.
+
+    spread: deal a scan of few files over all cores first, for the heavier queries.
+    """
     line = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
     )
+    line = spread_scan(line) if spread else line
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return line.join(orders, line["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").cast("int").alias("userId"),

@@ -31,3 +31,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A scan dealt over all cores where its files make fewer tasks than there are cores (a small table in one
+    row group); a large table's scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
