@@ -217,16 +217,18 @@ def held_out(column: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
-    """(broadcast context table, broadcast network)."""
+    """(broadcast context table, broadcast network), from at most max_rows labelled rows; of different labels of an id the lowest counts."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(context_table(docs))
     chosen = (
         labels.where("doc_id is not null and quality is not null").where(~held_out())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("_label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(max_rows)
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("_label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = document_vectors(own.join(F.broadcast(chosen), "doc_id"), table, "_label").toPandas()
+    found = document_vectors(own.join(F.broadcast(chosen), "doc_id"), table, "_label")
+    # a labelled id may stand on any number of rows: the bound holds for those, too
+    rows = found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("vector")).limit(max_rows).toPandas()
     rows = rows.sort_values(["doc_id", "_label"], kind="stable")
     x = np.array(rows["vector"].tolist(), float).reshape(len(rows), 3 * DIMS + 1)
     return table, spark.sparkContext.broadcast(Network(x, rows["_label"].to_numpy(float)))

@@ -1,7 +1,7 @@
 """SimHash fingerprints with DataFrame functions only (operator 6).
 
-Terms are a text's distinct word 5-shingles (fewer words: the whole sequence),
-of weight 2, and its distinct words, of weight 1. Two 64-bit hashes of a term
+Terms are a text's word 5-shingles (fewer words: the whole sequence), of weight 2 for
+every time they occur, and its words, of weight 1 for every time. Two 64-bit hashes of a term
 vote on 128 signed bits; a bit is set where more than half of the weight sets
 it. Eight 8-bit vote counters share one long, so a term costs 16 masked
 additions inside generated code; counters are unpacked for every 63 terms,
@@ -42,7 +42,7 @@ _TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
 
 def _terms(texts: DataFrame, key: list[str], text: str) -> DataFrame:
-    """key, _pos, _term: one row per distinct term; the lowest bit of a term tells a shingle from a word."""
+    """key, _pos, _term: one row for every occurrence of a term, so that frequent terms weigh more; the lowest bit of a term tells a shingle from a word."""
     words = F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), _TRIM, ""), _SPLIT)
     # hashes first: arrays of longs, not of strings, are sliced and exploded
     hashed = texts.select(*key, F.transform(words, lambda w: F.xxhash64(w)).alias("_w"))
@@ -52,7 +52,7 @@ def _terms(texts: DataFrame, key: list[str], text: str) -> DataFrame:
         F.size("_w") >= SHINGLE, F.transform(starts, lambda w, i: F.xxhash64(w, *[r(i) for r in rest]).bitwiseOR(F.lit(1)))
     ).otherwise(F.array(F.xxhash64("_w").bitwiseOR(F.lit(1))))
     single = F.transform("_w", lambda w: w.bitwiseAND(F.lit(-2)))
-    return hashed.select(*key, F.posexplode(F.concat(F.array_distinct(shingles), F.array_distinct(single))).alias("_pos", "_term"))
+    return hashed.select(*key, F.posexplode(F.concat(shingles, single)).alias("_pos", "_term"))
 
 
 def fingerprints(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
