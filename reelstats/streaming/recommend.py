@@ -10,7 +10,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstats.operators.recommend import recommend_user_subset
+from reelstats.operators.recommend import recommend_batch_users
 from reelstats.streaming.decode import valid_events
 
 
@@ -18,7 +18,7 @@ def batch_recommendations(model: ALSModel, batch: DataFrame, batch_id: int, k: i
     """Top-k for each distinct known user of the batch, tagged with time and batch id."""
     users = valid_events(batch).select("userId")
     return (
-        recommend_user_subset(model, users, k)
+        recommend_batch_users(model, users, k)
         .select("userId", "movieId", "rating")
         .withColumn("processing_time", F.current_timestamp())
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
