@@ -2,8 +2,9 @@
 
 A refresh writes new Parquet files beside the old ones; each task hands the driver
 the names of its files, and only when all tasks are done does the driver swap the
-collection's manifest, in one step. A refresh that fails removes its files and
-leaves the manifest, so readers go on with the old collection. The writer is a Python Data
+collection's manifest, in one step. A refresh that fails leaves the manifest, so readers go on
+with the old collection, and removes its files; what tasks still running then write
+afterwards is in no manifest, and `vacuum` removes it. The writer is a Python Data
 Source (`format("collection")`, mode overwrite or append), fed with Arrow
 batches; attempts of a task write files of their own, and only those of
 the attempt that the driver accepts are listed. Reading is a plain Parquet scan
