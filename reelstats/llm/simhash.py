@@ -7,19 +7,21 @@ it. Eight 8-bit vote counters share one long, so a term costs 16 masked
 additions inside generated code; counters are unpacked for every 63 terms,
 before they can overflow. The fingerprint is a string of 32 hex digits.
 
-`within_radius` finds all pairs of distinct fingerprints within a Hamming
-radius: the bits are cut into radius + `spare` blocks, and for every choice of
-`spare` blocks a permuted table keyed by those blocks brings together the
+The radius search cuts the bits into RADIUS + SPARE blocks. For every choice of
+SPARE blocks a permuted table keyed by those blocks brings together the
 fingerprints that agree on them; by pigeonhole every pair within the radius
-meets in one table, and the exact distance is checked. Equal fingerprints are
-grouped first (one row per class).
+meets in a table, and the exact distance is checked. Equal fingerprints are one
+row of the tables, whatever the number of their documents. The report searches
+all fingerprints for those of the documents whose doc_id is divisible by ASKED;
+`within_radius` gives all pairs of a table of fingerprints.
 
 Defined cases: a null text is empty; a text without words has the one term of
 the empty sequence; equal texts have equal fingerprints; null ids come before
 all others; different texts under one doc_id are documents of their own, in
 order of a hash of the text; rows equal in doc_id and text count once in the
-order and each get the same result; an empty table gives an empty result; extra columns are
-ignored.
+order and each get the same result, each other document of the rest; a null id is
+not searched for and is a null near_id; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,10 +34,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelstats.llm.tables import NULL_ID, written
+from reelstats.operators.joins import salted_join
 
 SHINGLE = 5
 BITS = 128
 _LANES = 0x0101010101010101
+RADIUS = 8  # bits that two fingerprints of the search may differ in
+SPARE = 2  # blocks that a key of the search has
+ASKED = 50  # the report searches for ids divisible by it
 _BLOCK = 63  # terms of weight 2 that an 8-bit counter takes without its sign bit
 _SPLIT = r"[\x20\x09-\x0D]+"
 _TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -154,8 +160,13 @@ def edited_texts(docs: DataFrame, ids_per_bucket: int = 50_000) -> DataFrame:
     )
 
 
-def fingerprint_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+def fingerprint_report(docs: DataFrame, radius: int = RADIUS, spare: int = SPARE) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near, near_id.
+
+    n_near: other documents whose fingerprint is within the radius; near_id: the
+    smallest doc_id of the nearest different fingerprint within it. Both for
+    doc_ids divisible by ASKED, against all documents; null for the others.
+    """
     pairs = edited_texts(docs)
     both = pairs.select("_id", "_th", F.posexplode(F.array("text", "edited")).alias("_kind", "_text"))
     fp = fingerprints(both, ["_id", "_th", "_kind"], "_text")
@@ -164,36 +175,100 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     about = pairs.select("_id", "_th", "doc_id", "n_chars", "_rows", "_n_id", "_n_th", F.sha2("edited", 256).alias("edited_sha256"))
     rows = written(about.join(fp, ["_id", "_th"]), "fingerprints")
     following = rows.select(F.col("_id").alias("_n_id"), F.col("_th").alias("_n_th"), F.col("_own").alias("_next"))
+    asked = F.coalesce(F.col("doc_id") % ASKED == 0, F.lit(False))
+    found = neighbours(rows.select(F.col("_id").alias("id"), "_own.fp_hi", "_own.fp_lo", F.col("_rows").alias("copies"), asked.alias("asked")), radius, spare)
+    found = found.select(as_text("fp_hi", "fp_lo").alias("fingerprint"), "docs", (F.col("n") - 1).alias("n_near"), F.when(F.col("near_id") != NULL_ID, F.col("near_id")).alias("near_id"))
+    rows = rows.withColumn("fingerprint", as_text("_own.fp_hi", "_own.fp_lo"))
+    # many of the documents searched for may have one fingerprint
+    searched = salted_join(rows.where(asked), written(found, "near"), "fingerprint", count_col="docs").drop("docs")
+    rows = rows.where(~asked).unionByName(searched, allowMissingColumns=True)
 
     def like(other: str) -> Column:
         return 1.0 - distance("_own.fp_hi", "_own.fp_lo", f"{other}.fp_hi", f"{other}.fp_lo") / float(BITS)
 
     out = rows.join(following, ["_n_id", "_n_th"]).select(
-        "doc_id", "n_chars", "edited_sha256", as_text("_own.fp_hi", "_own.fp_lo").alias("fingerprint"), as_text("_ed.fp_hi", "_ed.fp_lo").alias("edited_fingerprint"),
-        like("_ed").alias("near_edited"), like("_next").alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), "_rows")).alias("_copy"),
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", as_text("_ed.fp_hi", "_ed.fp_lo").alias("edited_fingerprint"),
+        like("_ed").alias("near_edited"), like("_next").alias("near_next"), "n_near", "near_id", F.explode(F.sequence(F.lit(1).cast("long"), "_rows")).alias("_copy"),
     )
     return out.drop("_copy")
 
 
-def within_radius(prints: DataFrame, radius: int = 12, spare: int = 4) -> DataFrame:
-    """All pairs (a_hi, a_lo) < (b_hi, b_lo) of distinct fingerprints within the radius, and their distance.
+def _bits(hi: str, lo: str, start: int, end: int) -> Column:
+    """Bits start to end (from the highest of hi on) of the 128, as a number."""
+    def half(column: str, a: int, b: int) -> Column:
+        return F.shiftrightunsigned(F.col(column), 64 - b).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long"))
+
+    if end <= 64:
+        return half(hi, start, end)
+    if start >= 64:
+        return half(lo, start - 64, end - 64)
+    return F.shiftleft(half(hi, start, 64), end - 64).bitwiseOR(half(lo, 0, end - 64))
+
+
+def _edges(blocks: int) -> list[int]:
+    return [round(i * BITS / blocks) for i in range(blocks + 1)]
+
 
-    prints: fp_hi, fp_lo (64 bits each). With radius + spare blocks of about
-    128 / (radius + spare) bits, a key has spare blocks; every pair within the
-    radius agrees on at least spare blocks, so it meets in one of the
-    (radius + spare choose spare) tables; the table of its first agreeing
-    blocks reports it.
+def block_tables(prints: DataFrame, radius: int, spare: int) -> DataFrame:
+    """prints (fp_hi, fp_lo and others) once for every permuted table, with `_key`: the table's number, then its blocks."""
+    n = radius + spare
+    edge = _edges(n)
+    width = max(b - a for a, b in zip(edge, edge[1:]))
+    if spare * width + math.comb(n, spare).bit_length() > 63:
+        raise ValueError("the blocks of a table don't fit in a key: raise radius or lower spare")
+    cut = prints.select("*", F.array(*[_bits("fp_hi", "fp_lo", a, b) for a, b in zip(edge, edge[1:])]).alias("_blocks"))
+    keys = []
+    for no, chosen in enumerate(combinations(range(n), spare)):
+        key = F.lit(no << (spare * width)).cast("long")
+        for place, i in enumerate(chosen):
+            key = key.bitwiseOR(F.shiftleft(F.get("_blocks", F.lit(i)), place * width))
+        keys.append(key)
+    return cut.select(*prints.columns, F.explode(F.array(*keys)).alias("_key"))
+
+
+def meetings(asked: DataFrame, prints: DataFrame, radius: int, spare: int) -> DataFrame:
+    """Every pair of a fingerprint a of `asked` and a fingerprint b of `prints` within the radius, once: a_hi, a_lo, prints' columns as b_..., distance.
+
+    Both sides have distinct fingerprints; asked is fp_hi, fp_lo. With
+    radius + spare blocks, a pair within the radius agrees on at least `spare`
+    of them and so meets in a table; the table of its first agreeing blocks
+    reports it. Fingerprints of `prints` that no key of `asked` names go no further.
     """
     n = radius + spare
-    edge = [round(i * BITS / n) for i in range(n + 1)]
+    edge = _edges(n)
+    width = max(b - a for a, b in zip(edge, edge[1:]))
+    left = written(block_tables(asked.select("fp_hi", "fp_lo"), radius, spare).select("_key", F.col("fp_hi").alias("a_hi"), F.col("fp_lo").alias("a_lo")), "asked-keys")
+    right = block_tables(prints, radius, spare)
+    right = right.select("_key", *[F.col(c).alias("b_" + c.removeprefix("fp_")) for c in prints.columns])
+    met = right.join(left, "_key").withColumn("distance", distance("a_hi", "a_lo", "b_hi", "b_lo")).where(F.col("distance") <= radius)
+    both = met.withColumn("_x_hi", F.col("a_hi").bitwiseXOR(F.col("b_hi"))).withColumn("_x_lo", F.col("a_lo").bitwiseXOR(F.col("b_lo")))
+    agree = F.array(*[_bits("_x_hi", "_x_lo", a, b) == 0 for a, b in zip(edge, edge[1:])])
+    first = F.slice(F.filter(F.transform(agree, lambda same, i: F.when(same, i)), lambda i: i.isNotNull()), 1, spare)
+    numbers = F.create_map(*[x for no, chosen in enumerate(combinations(range(n), spare)) for x in (F.lit(",".join(map(str, chosen))), F.lit(no))])
+    reported = F.shiftrightunsigned("_key", spare * width) == F.element_at(numbers, F.array_join(first.cast("array<string>"), ","))
+    return both.where(reported).drop("_key", "_x_hi", "_x_lo")
+
+
+def within_radius(prints: DataFrame, radius: int = RADIUS, spare: int = SPARE) -> DataFrame:
+    """All pairs (a_hi, a_lo) < (b_hi, b_lo) of distinct fingerprints within the radius, and their distance; prints: fp_hi, fp_lo."""
     distinct = prints.select("fp_hi", "fp_lo").distinct()
-    bits = F.concat(F.lpad(F.bin(F.col("fp_hi")), 64, "0"), F.lpad(F.bin(F.col("fp_lo")), 64, "0"))
-    blocks = distinct.select("fp_hi", "fp_lo", F.array(*[F.substring(bits, edge[i] + 1, edge[i + 1] - edge[i]) for i in range(n)]).alias("_blocks"))
-    tables = F.array(*[F.struct(F.lit(t).alias("no"), F.concat_ws("", *[F.get("_blocks", F.lit(i)) for i in chosen]).alias("bits")) for t, chosen in enumerate(combinations(range(n), spare))])
-    keyed = blocks.select("fp_hi", "fp_lo", F.explode(tables).alias("_k")).select("fp_hi", "fp_lo", F.col("_k.no").alias("_no"), F.xxhash64("_k.no", "_k.bits").alias("_key"))
-    # keys that only one fingerprint has find nothing
-    left = keyed.select("_no", "_key", F.col("fp_hi").alias("a_hi"), F.col("fp_lo").alias("a_lo"))
-    right = keyed.select("_no", "_key", F.col("fp_hi").alias("b_hi"), F.col("fp_lo").alias("b_lo"))
-    met = left.join(right, ["_no", "_key"]).where("a_hi < b_hi or (a_hi = b_hi and a_lo < b_lo)")
-    near = met.withColumn("distance", distance("a_hi", "a_lo", "b_hi", "b_lo")).where(F.col("distance") <= radius)
-    return near.select("a_hi", "a_lo", "b_hi", "b_lo", "distance").distinct()
+    pairs = meetings(distinct, distinct, radius, spare).where("a_hi < b_hi or (a_hi = b_hi and a_lo < b_lo)")
+    return pairs.select("a_hi", "a_lo", "b_hi", "b_lo", "distance")
+
+
+def neighbours(rows: DataFrame, radius: int = RADIUS, spare: int = SPARE) -> DataFrame:
+    """fp_hi, fp_lo, docs, n, near_id of every fingerprint that a row with `asked` has.
+
+    rows: id, fp_hi, fp_lo, copies (documents the row stands for), asked. docs:
+    documents with this fingerprint; n: documents with one within the radius,
+    these included; near_id: the smallest id of the nearest other fingerprint
+    within the radius (ties: the smallest id of all), null if there is none.
+    """
+    classes = rows.groupBy("fp_hi", "fp_lo").agg(F.min("id").alias("least"), F.sum("copies").alias("docs"), F.max("asked").alias("asked"))
+    classes = written(classes, "fingerprint-classes")
+    found = meetings(classes.where("asked"), classes.drop("asked"), radius, spare)
+    other = (F.col("a_hi") != F.col("b_hi")) | (F.col("a_lo") != F.col("b_lo"))
+    return found.groupBy(F.col("a_hi").alias("fp_hi"), F.col("a_lo").alias("fp_lo")).agg(
+        F.max(F.when(~other, F.col("b_docs"))).alias("docs"), F.sum("b_docs").alias("n"),
+        F.min(F.when(other, F.struct("distance", "b_least")))["b_least"].alias("near_id"),
+    )

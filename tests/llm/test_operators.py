@@ -242,6 +242,36 @@ def test_op6_radius_search(spark):
     assert got == want
 
 
+def test_op6_searches_all_documents(spark, none, odd):
+    rows = [(i, t) for i, t in enumerate([BASE, text(200), BASE + " x", None, "", "one two"])]
+    long = text(1500).split()
+    for i in range(6, 400):
+        words = list(long)
+        words[rng.randint(0, 1500)] = "edited"
+        rows.append((i, " ".join(words) if i % 3 else text(40)))
+    rows += [(50, rows[100][1]), (50, rows[100][1]), (None, " ".join(long))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = simhash.fingerprint_report(docs).toPandas()
+    prints = [int(f, 16) for f in got.fingerprint]
+    ids = [None if np.isnan(i) else int(i) for i in got.doc_id]
+    assert len(got) == len(rows)
+    seen = 0
+    for i, p, n, near in zip(ids, prints, got.n_near, got.near_id):
+        if i is None or i % 50:
+            assert np.isnan(n) and np.isnan(near)
+            continue
+        apart = [bin(p ^ q).count("1") for q in prints]
+        assert n == sum(d <= simhash.RADIUS for d in apart) - 1
+        best = min(((d, -1 if j is None else j) for d, j in zip(apart, ids) if 0 < d <= simhash.RADIUS), default=(0, -1))[1]
+        assert np.isnan(near) if best == -1 else near == best
+        seen += n > 100
+    assert seen > 2
+    assert simhash.fingerprint_report(none).columns == list(got.columns)
+    assert {r["n_near"] for r in simhash.fingerprint_report(odd).collect()} == {None}
+    with pytest.raises(ValueError):
+        simhash.block_tables(spark.createDataFrame([(1, 2)], "fp_hi long, fp_lo long"), 1, 1)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_is_exact(name):
     public_tokenizers = pytest.importorskip("public_tokenizers")
