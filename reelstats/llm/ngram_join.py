@@ -16,7 +16,8 @@ their overlap reaches T = ceil(4 (|a| + |b|) / 9).
 3. Homes. A class's home is the largest block around it, so that a group of near
    copies gets one home. A home is dealt to pieces of bounded size. Candidates of
    one home are searched inside each piece and against the home's first piece:
-   work linear in the pieces. Candidates with different homes are listed as pairs.
+   work linear in the pieces. Candidates with different homes are listed as pairs,
+   by joining a block with those of its classes that lie outside its main home.
 4. Rest. Components of the links found so far are computed; pairs of further
    pieces of a home are searched unless all their classes are in one component
    already. Links inside a known component may be left out, no others, so the
@@ -50,6 +51,7 @@ from reelstats.llm.tables import NULL_ID, id_key, shards_for, written
 WORDS = 5
 GROUP_SHINGLES = 500_000  # shingles of the candidates in one group of a query, or of one piece of a home
 LARGE_BLOCK = 8
+BLOCK_PIECE = 1_000  # classes of one block that a task of its join reads, next to those outside the block's main home
 
 
 def need(n):
@@ -246,12 +248,36 @@ def _pieces(homes: DataFrame) -> DataFrame:
     return homes.join(size, "home").withColumn("piece", F.pmod(F.xxhash64("sig"), F.col("_pieces")).cast("int")).drop("_pieces")
 
 
+def _across(members: DataFrame, homes: DataFrame) -> DataFrame:
+    """u, v, vn: pairs of one block, of sizes that may link, with different homes; un <= vn.
+
+    Of two classes with different homes one lies outside the block's most
+    frequent home. So only those outside are joined with the block, which is
+    dealt to pieces; its number of classes stands on every row.
+    """
+    salted = members.join(homes.select("sig", "home"), "sig").select(
+        "code", "sig", "n", "home", F.ceil(F.col("members") / BLOCK_PIECE).cast("int").alias("_pieces")
+    ).withColumn("_piece", F.pmod(F.xxhash64("sig"), F.col("_pieces")).cast("int"))
+    per_home = salted.groupBy("code", "home").agg(F.count(F.lit(1)).alias("_c"), F.max("_pieces").alias("_pieces"))
+    main = per_home.groupBy("code").agg(F.max(F.struct("_c", "home"))["home"].alias("main"), F.count(F.lit(1)).alias("_homes"), F.max("_pieces").alias("_pieces"))
+    pieces = F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))
+    mixed = written(salted.join(main.where("_homes > 1").select("code", "main", pieces.alias("_piece")), ["code", "_piece"]), "mixed-blocks")
+    outside = mixed.where("home <> main").select("code", pieces.alias("_piece"), F.col("sig").alias("a"), F.col("n").alias("an"), F.col("home").alias("ah"))
+    block = mixed.select("code", "_piece", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("home").alias("bh"))
+    pairs = outside.join(block, ["code", "_piece"]).where("ah <> bh and 5 * least(an, bn) >= 4 * greatest(an, bn)")
+    first = F.expr("an < bn or (an = bn and a < b)")
+    return pairs.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("v"), F.greatest("an", "bn").alias("vn")
+    ).distinct()
+
+
 def _first_targets(placed: DataFrame, across: DataFrame) -> DataFrame:
     """sig, target of every set to be shipped: its own piece, piece 0 with each other piece, and listed pairs."""
     pieces = placed.select("home", "piece").distinct()
     own = placed.select("sig", F.struct(F.lit(0).alias("kind"), F.col("home").alias("k1"), F.col("piece").alias("k2"), F.col("piece").alias("k3"), F.lit(False).alias("is_query"), F.col("sig").alias("root")).alias("target"))
     later = pieces.where("piece > 0").withColumnRenamed("piece", "other")
-    with_zero = placed.join(later, "home").where("piece = 0 or piece = other")
+    # classes of piece 0 go to every other piece's group, the others to their own piece's
+    with_zero = placed.where("piece = 0").join(later, "home").unionByName(placed.where("piece > 0").withColumn("other", F.col("piece")))
     zero = with_zero.select("sig", F.struct(F.lit(0).alias("kind"), F.col("home").alias("k1"), F.lit(0).alias("k2"), F.col("other").alias("k3"), F.lit(False).alias("is_query"), F.col("sig").alias("root")).alias("target"))
     degree = across.groupBy("u").agg(F.count(F.lit(1)).alias("_d"), F.max("vn").alias("_n"))
     degree = degree.select("u", F.greatest(F.ceil(F.col("_d") * F.col("_n") / GROUP_SHINGLES), F.lit(1)).cast("int").alias("_groups"))
@@ -350,15 +376,9 @@ def class_links(docs: DataFrame, shards: int | None = None) -> tuple[DataFrame,
     freq = docs.sparkSession.sparkContext.broadcast(rarity.merged(counters))
     members = written(_prune(written(blocks(docs, freq, shards), "blocks")), "pruned")
     placed = written(_homes(members), "homes")
-    at_home = members.join(placed.select("sig", "home"), "sig")
-    a = at_home.select("code", F.col("sig").alias("u"), F.col("n").alias("un"), F.col("home").alias("uh"))
-    b = at_home.select("code", F.col("sig").alias("v"), F.col("n").alias("vn"), F.col("home").alias("vh"))
-    across = (
-        a.join(b, "code").where("uh <> vh and (un < vn or (un = vn and u < v)) and 5 * un >= 4 * vn")
-        .select("u", "v", "vn").distinct()
-    )
+    across = written(_across(members, placed), "pairs")
     placed = written(_pieces(placed), "pieces")
-    links = written(search(docs, classes, _first_targets(placed, written(across, "pairs"))), "links")
+    links = written(search(docs, classes, _first_targets(placed, across)), "links")
     roots = connected_components(links)
     rest = written(_rest_targets(placed, roots), "rest")
     if not rest.isEmpty():

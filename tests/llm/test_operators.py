@@ -160,10 +160,29 @@ def test_op5_pieces_give_the_same_components(spark, monkeypatch):
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", 700)
+    monkeypatch.setattr(ngram_join, "BLOCK_PIECE", 4)
     got = by_id(ngram_join.components(df, shards=2))
     assert {i: tuple(r) for i, r in zip(got.index, got.to_numpy().tolist())} == brute_components(rows)
 
 
+@pytest.mark.parametrize("piece", [3, 100, 10**6])
+def test_op5_pairs_across_homes(spark, monkeypatch, piece):
+    monkeypatch.setattr(ngram_join, "BLOCK_PIECE", piece)
+    n = {i: 40 + i * 7 % 23 for i in range(400)}
+    home = {i: -1 if i < 300 and i % 40 else i % 9 for i in n}  # most of the large block in one home
+    blocks = {77: list(range(300)), 5: list(range(290, 340)), 6: [1, 2, 3], 7: list(range(340, 400)), 8: [7, 399]}
+    members = spark.createDataFrame([(c, i, n[i], len(b)) for c, b in blocks.items() for i in b], "code long, sig long, n long, members long")
+    homes = spark.createDataFrame([(i, n[i], home[i]) for i in n], "sig long, n long, home long")
+    want = set()
+    for b in blocks.values():
+        for x in b:
+            for y in b:
+                if home[x] != home[y] and (n[x], x) < (n[y], y) and 5 * n[x] >= 4 * n[y]:
+                    want.add((x, y, n[y]))
+    got = [tuple(r) for r in ngram_join._across(members, homes).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_divide_skip():
     pool = np.sort(rng.choice(10**9, 900, replace=False)).astype(np.uint64)
     sets = [np.sort(rng.choice(pool[: 100 + k], 90 + k % 9, replace=False)) for k in range(60)]
