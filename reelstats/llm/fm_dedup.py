@@ -10,18 +10,19 @@ the input.
    (the leftmost of equal ones), so equal windows have equal anchors at equal
    places, and windows that reach beyond a frequent passage have rare ones. Neighbouring
    windows with one anchor occurrence form a context: at most 16 windows, 35
-   words. Inside a task, equal contexts meet at once: all but the first are
-   repeats, and only the first goes on (so a group of copies costs a context
-   once per task).
+   words. Inside a task, equal contexts meet at once, by their anchor and a 64-bit
+   hash of their words: all but the first are repeats, and only the first goes on
+   (so a group of copies costs a context once per task).
 2. Anchors travel as packed arrays, one row per task and shard. Those that
    occur once in all shards are done.
 3. The contexts of the others, with their words, go to their anchor's shard. A
-   shard builds an FM-index over its contexts: the suffix order by rank
-   doubling, the Burrows-Wheeler sequence over 5-word symbols (a step of the
-   backward search reads five words), and a wavelet matrix with succinct rank
-   over it. Every window is searched backward in four steps; its match interval
-   gives all its occurrences, and the earliest of them in (doc_id, position)
-   order. Windows with an earlier occurrence are reported as intervals.
+   shard numbers their words by their bytes and builds an FM-index over 5-word
+   symbols (a step of the backward search reads five words): the suffix order by
+   rank doubling, and the Burrows-Wheeler sequence, compressed to its runs, with
+   a wavelet matrix over the runs' heads. The contexts are streamed against it:
+   backward search gives the matching statistics of their word ends, that is, how
+   far back a match goes that starts earlier in (doc_id, position) order. Matches of
+   20 words and more are reported as intervals.
 4. Intervals are gathered per document and the covered words go.
 
 Defined cases: null text has no words; a null doc_id comes before all others;
@@ -117,7 +118,8 @@ def suspect_contexts(docs: DataFrame, classes, shards: int) -> DataFrame:
         key = at.mix(anchor ^ at.mix(whole))
         order = np.lexsort((start, doc, key))
         again = np.zeros(len(key), bool)
-        again[1:] = key[order][1:] == key[order][:-1]
+        same = [x[order][1:] == x[order][:-1] for x in (key, anchor, whole)]
+        again[1:] = same[0] & same[1] & same[2]
         # the same position of rows that share a doc_id is not earlier
         head = order[np.maximum.accumulate(np.where(again, 0, np.arange(len(key))))]
         repeat = order[again & ((doc[order] != doc[head]) | (start[order] != start[head]))]
@@ -193,68 +195,132 @@ class WaveletMatrix:
         return at_ - begin
 
 
-def earliest(words: np.ndarray, length: np.ndarray, windows: np.ndarray, age: np.ndarray) -> np.ndarray:
-    """For each window of each context: whether an equal window of lower age exists.
+class RunLengthBwt:
+    """A Burrows-Wheeler sequence by its runs: a wavelet matrix over the runs' heads, where runs start, and how long they are.
 
-    words: the contexts' word hashes, joined; length and windows: words and
-    windows of each context; age: of each window, in its order.
+    Copies give long runs, so its size grows with the different texts, not with how often they occur.
     """
-    begin = np.cumsum(length) - length
-    ctx = at.rows_of(length)
-    n = len(words)
-    has = np.zeros(n + 4 * GRAM * 2, bool)  # a gram of five words starts here
-    at_ = np.arange(n)
-    has[:n] = at_ + GRAM <= (begin + length)[ctx]
-    gram = np.zeros(n, at.U64)
-    g = at.ngram_hash(words, GRAM)
-    gram[: len(g)] = g
-    values, sym = np.unique(gram[has[:n]], return_inverse=True)
-    rank = np.zeros(len(has), np.int64)  # 0: none
-    rank[np.flatnonzero(has)] = sym + 1
-    symbol = rank.copy()
-    reach = GRAM
-    while reach < 2 * WINDOW:
-        # the suffix five, ten, twenty words on, if it is in the same context
-        after = np.zeros(n, np.int64)
-        same = np.zeros(n, bool)
-        m = n - reach
-        if m > 0:
-            same[:m] = ctx[reach:] == ctx[:m]
-            after[:m] = np.where(same[:m], rank[reach:n], 0)
-        key = rank[:n] * (int(rank.max()) + 1) + after
+
+    def __init__(self, bwt: np.ndarray, top: int):
+        new = np.ones(len(bwt), bool)
+        new[1:] = bwt[1:] != bwt[:-1]
+        self.start = np.flatnonzero(new).astype(np.int32)
+        self.head = bwt[self.start].astype(np.int32)
+        self.runs = WaveletMatrix(self.head.astype(np.int64), top)
+        by_symbol = np.argsort(self.head, kind="stable")
+        length = np.diff(np.append(self.start, len(bwt)))[by_symbol]
+        self.before = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])  # over the runs, symbol by symbol
+        self.own = np.searchsorted(self.head[by_symbol], np.arange(top + 2))  # a symbol's first run there
+
+    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Occurrences of symbol[i] before place[i]."""
+        run = np.searchsorted(self.start, place, side="right") - 1
+        own = self.own[symbol]
+        whole = self.before[own + self.runs.rank(symbol, run)] - self.before[own]
+        return whole + np.where(self.head[run] == symbol, place - self.start[run], 0)
+
+
+def gram_symbols(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Numbers of the grams that begin at starts: equal exactly where all their words are."""
+    _, first, symbol = np.unique(at.ngram_hash(at.mix(words.astype(at.U64)), GRAM)[starts], return_index=True, return_inverse=True)
+    like = starts[first][symbol]
+    if all((words[starts + i] == words[like + i]).all() for i in range(GRAM)):
+        return symbol
+    # different grams share a hash
+    _, symbol = np.unique(np.lib.stride_tricks.sliding_window_view(words, GRAM)[starts], axis=0, return_inverse=True)
+    return symbol.reshape(-1)
+
+
+class FmIndex:
+    """FM-index over the 5-word symbols of contexts.
+
+    words: numbers of the contexts' words, joined (equal words, equal numbers);
+    length: words of each context, at least five.
+    """
+
+    def __init__(self, words: np.ndarray, length: np.ndarray):
+        self.begin = begin = np.cumsum(length) - length
+        ctx = at.rows_of(length)
+        n = len(words)
+        has = np.zeros(n + 4 * GRAM * 2, bool)  # a gram of five words starts here
+        at_ = np.arange(n)
+        has[:n] = at_ + GRAM <= (begin + length)[ctx]
         own = np.flatnonzero(has[:n])
-        _, inverse = np.unique(key[own], return_inverse=True)
-        rank = np.zeros(len(has), np.int64)
-        rank[own] = inverse + 1
-        reach *= 2
-    own = np.flatnonzero(has[:n])
-    order = own[np.argsort(rank[own], kind="stable")]  # the suffix array
-    top = len(values) + 1  # stands for 'no gram before'
-    prev = order - GRAM
-    ok = prev >= begin[ctx[order]]
-    bwt = np.where(ok, symbol[np.maximum(prev, 0)], top)
-    count = np.bincount(symbol[own], minlength=top + 2)
-    first = np.cumsum(count) - count  # where a symbol's suffixes begin
-    ends = own[~(has[own + GRAM] & (np.concatenate([ctx, np.full(GRAM, -1)])[own + GRAM] == ctx[own]))]
-    short = np.bincount(symbol[ends], minlength=top + 2)  # its suffixes with nothing after the gram, which sort first
-    matrix = WaveletMatrix(bwt, top)
-    query = at.flat(begin, windows)
-    last = symbol[query + WINDOW - GRAM]
-    lo, hi = first[last], first[last] + count[last]
-    for step in range(WINDOW - 2 * GRAM, -1, -GRAM):
-        s = symbol[query + step]
-        base = first[s] + short[s]
-        lo, hi = base + matrix.rank(s, lo), base + matrix.rank(s, hi)
-    # an interval holds all suffixes that begin with the window: equal windows, equal interval
-    oldest = np.full(n, np.iinfo(np.int64).max)
+        symbol = np.zeros(len(has), np.int64)  # 0: none
+        symbol[own] = gram_symbols(words, own) + 1
+        rank = symbol
+        reach = GRAM
+        while reach < 2 * WINDOW:
+            # the suffix five, ten, twenty words on, if it is in the same context
+            after = np.zeros(n, np.int64)
+            m = n - reach
+            if m > 0:
+                after[:m] = np.where(ctx[reach:] == ctx[:m], rank[reach:n], 0)
+            key = rank[:n] * (int(rank.max()) + 1) + after
+            _, inverse = np.unique(key[own], return_inverse=True)
+            rank = np.zeros(len(has), np.int64)
+            rank[own] = inverse + 1
+            reach *= 2
+        self.order = order = own[np.argsort(rank[own], kind="stable")]  # the suffix array
+        self.symbol = symbol
+        top = int(symbol.max()) + 1  # stands for 'no gram before'
+        prev = order - GRAM
+        bwt = np.where(prev >= begin[ctx[order]], symbol[np.maximum(prev, 0)], top)
+        self.count = np.bincount(symbol[own], minlength=top + 2)
+        self.first = np.cumsum(self.count) - self.count  # where a symbol's suffixes begin
+        ends = own[~(has[own + GRAM] & (np.concatenate([ctx, np.full(GRAM, -1)])[own + GRAM] == ctx[own]))]
+        # its suffixes with nothing after the gram sort first
+        self.base = self.first + np.bincount(symbol[ends], minlength=top + 2)
+        self.bwt = RunLengthBwt(bwt, top)
+
+    def back(self, place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals with the gram at each place put before what they stand for."""
+        s = self.symbol[place]
+        return self.base[s] + self.bwt.rank(s, lo), self.base[s] + self.bwt.rank(s, hi)
+
+    def find(self, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the n words (a multiple of five) at each start."""
+        last = self.symbol[start + n - GRAM]
+        lo, hi = self.first[last], self.first[last] + self.count[last]
+        for step in range(n - 2 * GRAM, -1, -GRAM):
+            lo, hi = self.back(start + step, lo, hi)
+        return lo, hi
+
+
+def matched_windows(words: np.ndarray, length: np.ndarray, windows: np.ndarray, age: np.ndarray) -> np.ndarray:
+    """For each window of each context: whether an equal window of lower age exists.
+
+    words, length: see FmIndex; windows: of each context; age: of each window, in
+    its order, by document and then position. Matching statistics, from the right: a match that ends at a word is
+    taken back by grams of five for as long as it also starts earlier elsewhere.
+    From 20 words on its interval is reported; ends of windows inside it aren't
+    searched again.
+    """
+    index = FmIndex(words, length)
+    query = at.flat(index.begin, windows)
+    least = np.iinfo(np.int64).max
+    oldest = np.full(len(words), least)
     oldest[query] = age
-    low, at_low = np.unique(lo, return_inverse=True)
-    high = np.zeros(len(low), np.int64)
-    high[at_low] = hi
-    edge = np.column_stack([low, high]).ravel()
-    by_order = np.concatenate([oldest[order], [np.iinfo(np.int64).max]])
-    least = np.minimum.reduceat(by_order, edge)[::2] if len(edge) else np.zeros(0, np.int64)
-    return least[at_low] < age
+    by_order = np.append(oldest[index.order], least)
+    first = np.repeat(index.begin, windows)
+    from_right = np.repeat(windows, windows) - 1 - (query - first)
+    late = np.zeros(len(words) + 1, bool)
+    for turn in range(-(-int(windows.max(initial=0)) // GRAM)):
+        own = (from_right // GRAM == turn) & ~late[query]
+        top, place, left = query[own], query[own], first[own]
+        lo, hi = index.find(place, WINDOW)
+        while len(place):
+            # one interval for all equal matches
+            low, at_low = np.unique(lo, return_inverse=True)
+            high = np.zeros(len(low), np.int64)
+            high[at_low] = hi
+            earliest = np.minimum.reduceat(by_order, np.column_stack([low, high]).ravel())[::2]
+            hit = earliest[at_low] < oldest[place]
+            late[at.flat(place[hit], top[hit] - place[hit] + 1)] = True
+            more = hit & (place - GRAM >= left)
+            top, place, left = top[more], place[more] - GRAM, left[more]
+            lo, hi = index.back(place, lo[more], hi[more])
+    return late[query]
 
 
 def search_shards(docs: DataFrame, suspects: DataFrame, classes, shards: int) -> DataFrame:
@@ -299,14 +365,12 @@ def search_shards(docs: DataFrame, suspects: DataFrame, classes, shards: int) ->
     def index(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = []
         for batch in batches:
-            for t, z, d, s, w in zip(*(batch.column(c) for c in ("texts", "size", "doc", "start", "windows"))):
-                size = np.frombuffer(z.as_py(), np.int32)
-                off = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-                buf = np.frombuffer(t.as_py(), np.uint8)
-                begin, end, _ = at.words(buf, off)
-                parts.append((at.span_hash(buf, begin, end), np.frombuffer(d.as_py(), np.int64), np.frombuffer(s.as_py(), np.int32), np.frombuffer(w.as_py(), np.uint8)))
-        words, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
+            for row in zip(*(batch.column(c) for c in ("texts", "size", "doc", "start", "windows"))):
+                parts.append([np.frombuffer(x.as_py(), t) for x, t in zip(row, (np.uint8, np.int32, np.int64, np.int32, np.uint8))])
+        buf, size, doc, start, windows = (np.concatenate(x) for x in zip(*parts))
         parts.clear()
+        begin, end, _ = at.words(buf, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]))
+        words = at.word_array(buf, begin, end).dictionary_encode().indices.to_numpy()  # words are told apart by their bytes
         windows = windows.astype(np.int64)
         d, s = np.repeat(doc, windows), at.flat(start.astype(np.int64), windows)
         order = np.lexsort((s, d))
@@ -314,7 +378,7 @@ def search_shards(docs: DataFrame, suspects: DataFrame, classes, shards: int) ->
         fresh[1:] = (d[order][1:] != d[order][:-1]) | (s[order][1:] != s[order][:-1])
         age = np.empty(len(d), np.int64)
         age[order] = np.cumsum(fresh)  # equal places of one doc_id are equally old
-        late = earliest(words, windows + WINDOW - 1, windows, age)
+        late = matched_windows(words, windows + WINDOW - 1, windows, age)
         d, s = d[late], s[late]
         order = np.lexsort((s, d))
         d, s = d[order], s[order]

@@ -103,7 +103,7 @@ def test_fm_index_finds_the_earliest_window():
     words = np.array([hash(("w", i % 9)) & (2**63 - 1) for i in range(60)], np.uint64)
     length, windows = np.array([30, 30]), np.array([11, 11])
     age = np.arange(1, 23)
-    late = fm_dedup.earliest(words, length, windows, age)
+    late = fm_dedup.matched_windows(words, length, windows, age)
     seen: dict = {}
     for k in range(22):
         s = (k // 11) * 30 + k % 11
@@ -112,6 +112,39 @@ def test_fm_index_finds_the_earliest_window():
         seen.setdefault(key, k)
 
 
+def test_fm_index_of_many_contexts(monkeypatch):
+    r = np.random.RandomState(3)
+    base = r.randint(0, 50, 400)
+    base[100:200] = base[:100]
+    windows = r.randint(1, 17, 300)
+    length = windows + 19
+    from_ = r.randint(0, 400 - 36, 300)
+    words = np.concatenate([base[a : a + n] for a, n in zip(from_, length)])
+    words[r.randint(0, len(words), 200)] = 51
+    place = np.concatenate([np.arange(w) for w in windows])
+    age = np.repeat(r.permutation(300), windows) * 100 + place
+    start = np.repeat(np.cumsum(length) - length, windows) + place
+    least: dict = {}
+    keys = [tuple(words[s : s + 20].tolist()) for s in start]
+    for k, a in zip(keys, age):
+        least[k] = min(least.get(k, a), a)
+    want = [bool(least[k] < a) for k, a in zip(keys, age)]
+    assert 0 < sum(want) < len(want)
+    assert fm_dedup.matched_windows(words, length, windows, age).tolist() == want
+    # a hash that tells nothing apart changes nothing
+    monkeypatch.setattr(fm_dedup.at, "ngram_hash", lambda h, n: np.zeros(max(0, len(h) - n + 1), np.uint64))
+    assert fm_dedup.matched_windows(words, length, windows, age).tolist() == want
+
+
+@pytest.mark.parametrize("n, symbols", [(1, 2), (64, 3), (1000, 7), (1000, 1)])
+def test_run_length_bwt_counts(n, symbols):
+    r = np.random.RandomState(n + symbols)
+    bwt = np.repeat(r.randint(1, symbols + 1, n), r.randint(1, 6, n))
+    index = fm_dedup.RunLengthBwt(bwt, symbols)
+    s, place = r.randint(1, symbols + 1, 500), r.randint(0, len(bwt) + 1, 500)
+    assert index.rank(s, place).tolist() == [int((bwt[:p] == c).sum()) for c, p in zip(s, place)]
+
+
 def sets_of(t):
     w = WORD.findall((t or "").translate({a: a + 32 for a in range(65, 91)}))
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
