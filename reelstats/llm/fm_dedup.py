@@ -240,35 +240,37 @@ class FmIndex:
 
     def __init__(self, words: np.ndarray, length: np.ndarray):
         self.begin = begin = np.cumsum(length) - length
-        ctx = at.rows_of(length)
+        ctx = at.rows_of(length).astype(np.int32)
         n = len(words)
         has = np.zeros(n + 4 * GRAM * 2, bool)  # a gram of five words starts here
         at_ = np.arange(n)
         has[:n] = at_ + GRAM <= (begin + length)[ctx]
         own = np.flatnonzero(has[:n])
-        symbol = np.zeros(len(has), np.int64)  # 0: none
+        symbol = np.zeros(len(has), np.int32)  # 0: none
         symbol[own] = gram_symbols(words, own) + 1
         rank = symbol
         reach = GRAM
         while reach < 2 * WINDOW:
             # the suffix five, ten, twenty words on, if it is in the same context
-            after = np.zeros(n, np.int64)
+            key = rank[:n].astype(np.int64) * (int(rank.max()) + 1)
             m = n - reach
             if m > 0:
-                after[:m] = np.where(ctx[reach:] == ctx[:m], rank[reach:n], 0)
-            key = rank[:n] * (int(rank.max()) + 1) + after
-            _, inverse = np.unique(key[own], return_inverse=True)
-            rank = np.zeros(len(has), np.int64)
+                key[:m] += np.where(ctx[reach:] == ctx[:m], rank[reach:n], 0)
+            key = key[own]
+            _, inverse = np.unique(key, return_inverse=True)
+            rank = np.zeros(len(has), np.int32)
             rank[own] = inverse + 1
             reach *= 2
+        del key, inverse
         self.order = order = own[np.argsort(rank[own], kind="stable")]  # the suffix array
+        del rank
         self.symbol = symbol
         top = int(symbol.max()) + 1  # stands for 'no gram before'
         prev = order - GRAM
         bwt = np.where(prev >= begin[ctx[order]], symbol[np.maximum(prev, 0)], top)
         self.count = np.bincount(symbol[own], minlength=top + 2)
         self.first = np.cumsum(self.count) - self.count  # where a symbol's suffixes begin
-        ends = own[~(has[own + GRAM] & (np.concatenate([ctx, np.full(GRAM, -1)])[own + GRAM] == ctx[own]))]
+        ends = own[~(has[own + GRAM] & (np.concatenate([ctx, np.full(GRAM, -1, np.int32)])[own + GRAM] == ctx[own]))]
         # its suffixes with nothing after the gram sort first
         self.base = self.first + np.bincount(symbol[ends], minlength=top + 2)
         self.bwt = RunLengthBwt(bwt, top)
@@ -371,6 +373,7 @@ def search_shards(docs: DataFrame, suspects: DataFrame, classes, shards: int) ->
         parts.clear()
         begin, end, _ = at.words(buf, np.concatenate([[0], np.cumsum(size, dtype=np.int64)]))
         words = at.word_array(buf, begin, end).dictionary_encode().indices.to_numpy()  # words are told apart by their bytes
+        del buf, begin, end
         windows = windows.astype(np.int64)
         d, s = np.repeat(doc, windows), at.flat(start.astype(np.int64), windows)
         order = np.lexsort((s, d))
