@@ -37,6 +37,8 @@ from reelstats.sources import paths
 
 SCHEMA = "offset long, key string, value string, timestamp timestamp"
 ROWS_PER_TASK = 1_000_000
+#: Of the files written: a task that reads a part of a file skips the rest by its row groups.
+ROW_GROUP_BYTES = 8 << 20
 _MANIFESTS = "_manifests"
 
 
@@ -71,7 +73,7 @@ def append_messages(messages: DataFrame, path: str, order: list[Column], partiti
     missing = [F.lit(None).cast(t).alias(c) for c, t in (("key", "string"), ("timestamp", "timestamp")) if c not in messages.columns]
     placed = numbered(messages.select("*", *missing), order, "offset", partitions, first)
     cast = [F.col(f.name).cast(f.dataType) for f in StructType.fromDDL(SCHEMA).fields]
-    placed.select(*cast).repartitionByRange("offset").sortWithinPartitions("offset").write.parquet(f"{path}/{segment}")
+    placed.select(*cast).repartitionByRange("offset").sortWithinPartitions("offset").write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{path}/{segment}")
     stored = spark.read.parquet(f"{path}/{segment}").select(F.input_file_name().alias("file"), "offset")
     spans = stored.groupBy("file").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).orderBy("first").collect()  # a row a file
     end = spans[-1]["last"] + 1 if spans else first
@@ -166,14 +168,27 @@ class MessageLog(DataSource):
         return MessageLogReader(self.options)
 
 
-def message_options(path: str, checkpoint: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = 1000) -> dict[str, str]:
-    """Options of a message table stream, named as those of `decode.kafka_options`; checkpoint is the query's."""
-    out = {"path": path, "startingOffsets": starting_offsets}
+def batch_number(cap: int) -> Column:
+    """The batch that a row is in, when a table is read from offset 0 in batches of `cap` rows."""
+    return F.expr(f"offset div {int(cap)}L")
+
+
+def message_options(path: str, checkpoint: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = 1000,
+                    batches_per_trigger: int = 1, rows_per_task: int = ROWS_PER_TASK) -> dict[str, str]:
+    """Options of a message table stream, named as those of `decode.kafka_options`; checkpoint is the query's.
+
+    batches_per_trigger: so many batches of the cap are taken by one trigger where they wait, for a
+    handler that tells them apart by `batch_number`; a trigger costs about as much as a few
+    100,000 rows.
+    """
+    out = {"path": path, "startingOffsets": starting_offsets, "rowsPerTask": str(rows_per_task)}
     if max_offsets_per_trigger is not None:
-        out |= {"maxOffsetsPerTrigger": str(max_offsets_per_trigger), "positionFile": f"{checkpoint.rstrip('/')}-position"}
+        out |= {"maxOffsetsPerTrigger": str(max_offsets_per_trigger * batches_per_trigger), "positionFile": f"{checkpoint.rstrip('/')}-position"}
     return out
 
 
-def read_messages(spark: SparkSession, path: str, checkpoint: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = 1000) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, checkpoint: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = 1000,
+                  batches_per_trigger: int = 1, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     spark.dataSource.register(MessageLog)
-    return spark.readStream.format(MessageLog.name()).options(**message_options(path, checkpoint, starting_offsets, max_offsets_per_trigger)).load()
+    options = message_options(path, checkpoint, starting_offsets, max_offsets_per_trigger, batches_per_trigger, rows_per_task)
+    return spark.readStream.format(MessageLog.name()).options(**options).load()

@@ -66,7 +66,14 @@ def catch_up(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def stop(query: StreamingQuery) -> None:
+def stop(query: StreamingQuery, patience_s: float = 10.0) -> None:
+    """Stops a query, after the batch it is at where that ends within `patience_s`: a batch stopped
+    between its handler and its commit would be handled again on a restart."""
+    before, until = (query.lastProgress or {}).get("batchId"), time.monotonic() + patience_s
+    while query.isActive and query.status["isDataAvailable"] and time.monotonic() < until:
+        if (query.lastProgress or {}).get("batchId") != before:
+            break
+        time.sleep(0.02)
     if query.isActive:
         query.stop()
 

@@ -44,6 +44,20 @@ def test_batches_have_exactly_the_cap_and_go_on_after_a_restart(spark):
     assert values.where("key <> 2499 - offset OR value <> concat('v', key)").isEmpty() and values.count() == 2500
 
 
+def test_a_trigger_takes_several_whole_batches(spark):
+    out = scratch_path(spark, "log-batches")
+    message_log.append_messages(messages(spark, 0, 2500), f"{out}/log", [F.asc("id")], 3)
+    seen: list = []
+
+    def handle(batch, i):
+        found = batch.groupBy(message_log.batch_number(700).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"))
+        seen.append((i, sorted((r["b"], r["n"], r["lo"]) for r in found.collect())))
+
+    stream = message_log.read_messages(spark, f"{out}/log", f"{out}/ck", "earliest", 700, batches_per_trigger=3, rows_per_task=500)
+    runner.catch_up(runner.start_foreach_batch(stream, handle, f"{out}/ck", trigger={"processingTime": "0 seconds"}))
+    assert seen == [(0, [(0, 700, 0), (1, 700, 700), (2, 700, 1400)]), (1, [(3, 400, 2100)])]
+
+
 @pytest.mark.parametrize("start, want", [("latest", [30, 49]), ("10", [10, 49])])
 def test_starting_offsets(spark, start, want):
     out = scratch_path(spark, "log-start")
