@@ -7,11 +7,14 @@ line of the text); n_repeat_words (words inside 8-word windows that occur
 twice or more in the text). Base rule: fewer than 20 words, or more than 30 %
 repeated words, fails.
 
-The forest is fitted on the statistics of a bounded sample of rows labelled
-good (quality 1); path lengths over random splits give an anomaly score, and
-the threshold on it is the one that separates labelled good from labelled bad
-rows that pass the base rule, under the condition that at most `clean_loss` of
-the good ones go. Without any labelled row only the base rule decides.
+The forest is fitted on the statistics of all rows labelled good (quality 1)
+that pass the base rule: its random splits lie over their range, and tasks count
+how many of them fall into each leaf (a table of fixed size). Path lengths over
+the splits give an anomaly score, and the threshold on it is the one that
+separates labelled good from labelled bad rows that pass the base rule, under the
+condition that at most `clean_loss` of the good ones go; it is an exact quantile of
+the scores of all of them, which are rounded to SCORE_DIGITS. Without any
+labelled row only the base rule decides.
 
 Defined cases: null text is empty (all statistics 0, base_failed); rows with a
 null or repeated doc_id are scored by themselves, one result row per input row;
@@ -28,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstats.llm import arrowtext as at
+from reelstats.llm.tables import written
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 N_FEATURES = 6
+SCORE_DIGITS = 5
 _SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in STATS) + ", n_lines long, n_caps long"
 
 
@@ -106,86 +111,143 @@ def features(s: dict[str, np.ndarray]) -> np.ndarray:
 
 
 class IsolationForest:
-    """Random-split trees on subsamples; the score is 2^(-mean path / expected path), in 0 to 1."""
+    """Trees of random splits over the range of the data, with the share of the data in each node.
 
-    def __init__(self, x: np.ndarray, trees: int = 64, sample: int = 256, seed: int = 8):
-        rng = np.random.RandomState(seed)
-        self.sample = min(sample, len(x))
+    A node's path length ends where at most one row in `sample` is left, as in a tree grown on
+    `sample` rows, but the rows are counted, not drawn. The score is 2^(-mean path / expected path), in 0 to 1.
+    Made from x, or of a range alone (`over`), to be counted (`leaves`, `masses`) and finished (`weigh`) in parts.
+    """
+
+    def __init__(self, x: np.ndarray | None = None, trees: int = 64, sample: int = 256, seed: int = 8):
+        self.n_trees, self.most, self.seed = trees, sample, seed
+        if x is not None:
+            self.over(x.min(0), x.max(0), len(x)).weigh(self.masses(x))
+
+    def over(self, low: np.ndarray, high: np.ndarray, n: int) -> IsolationForest:
+        """The splits for n rows in this range."""
+        self.n, self.sample = n, min(self.most, n)
+        self.depth = int(np.ceil(np.log2(max(self.sample, 2))))
         # a margin around the data's range: values outside it can be split off at once
-        low, high = x.min(0), x.max(0)
-        self.margin = np.maximum((high - low) * 0.5, 1e-6)
-        self.trees = [self._grow(x[rng.choice(len(x), self.sample, replace=False)], rng) for _ in range(trees)]
-
-    def _grow(self, x: np.ndarray, rng) -> tuple[np.ndarray, ...]:
-        depth_limit = int(np.ceil(np.log2(max(self.sample, 2))))
-        nodes: list[list[float]] = []  # feature, cut, left, right, path length at a leaf
-
-        def add(part: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) -> int:
-            at_ = len(nodes)
-            nodes.append([-1, 0.0, -1, -1, depth + _expected(len(part))])
-            if depth >= depth_limit or len(part) <= 1:
-                if depth < depth_limit and not len(part):
-                    nodes[at_][4] = depth
-                return at_
-            k = rng.randint(part.shape[1])
-            cut = rng.uniform(low[k], high[k])
-            left = part[:, k] < cut
-            to, frm = high.copy(), low.copy()
-            to[k], frm[k] = cut, cut
-            nodes[at_][:4] = [k, cut, 0, 0]
-            nodes[at_][2] = add(part[left], low, to, depth + 1)
-            nodes[at_][3] = add(part[~left], frm, high, depth + 1)
-            return at_
-
-        add(x, x.min(0) - self.margin, x.max(0) + self.margin, 0)
-        a = np.array(nodes, float)
-        return a[:, 0].astype(int), a[:, 1], a[:, 2].astype(int), a[:, 3].astype(int), a[:, 4]
+        margin = np.maximum((high - low) * 0.5, 1e-6)
+        rng = np.random.RandomState(self.seed)
+        inner = (1 << self.depth) - 1
+        self.feature, self.cut = np.zeros((self.n_trees, inner), int), np.zeros((self.n_trees, inner))
+        for t in range(self.n_trees):
+            lows, highs = [low - margin], [high + margin]  # by node; the children of i are 2i+1 and 2i+2
+            for i in range(inner):
+                k = rng.randint(len(low))
+                c = rng.uniform(lows[i][k], highs[i][k])
+                self.feature[t, i], self.cut[t, i] = k, c
+                left_high, right_low = highs[i].copy(), lows[i].copy()
+                left_high[k], right_low[k] = c, c
+                lows += [lows[i], right_low]
+                highs += [left_high, highs[i]]
+        return self
+
+    def leaves(self, x: np.ndarray, tree: int) -> np.ndarray:
+        node, row = np.zeros(len(x), int), np.arange(len(x))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (x[row, self.feature[tree, node]] >= self.cut[tree, node])
+        return node - ((1 << self.depth) - 1)
+
+    def masses(self, x: np.ndarray) -> np.ndarray:
+        """Rows of x in each leaf, by tree."""
+        return np.stack([np.bincount(self.leaves(x, t), minlength=1 << self.depth) for t in range(self.n_trees)])
+
+    def weigh(self, masses: np.ndarray) -> IsolationForest:
+        """Path lengths by leaf, from the masses of all rows."""
+        share = self.sample / max(self.n, 1)
+        self.length = np.empty(masses.shape)
+        open_ = np.ones(masses.shape, bool)
+        for level in range(self.depth + 1):
+            width = 1 << (self.depth - level)
+            here = np.repeat(masses.reshape(self.n_trees, -1, width).sum(2) * share, width, axis=1)
+            ends = open_ & ((here <= 1) | (level == self.depth))
+            self.length[ends] = level + _expected(here[ends])
+            open_ &= ~ends
+        return self
 
     def score(self, x: np.ndarray) -> np.ndarray:
         path = np.zeros(len(x))
-        for feature, cut, left, right, length in self.trees:
-            node = np.zeros(len(x), int)
-            while (inner := feature[node] >= 0).any():
-                i = np.flatnonzero(inner)
-                k = node[i]
-                node[i] = np.where(x[i, feature[k]] < cut[k], left[k], right[k])
-            path += length[node]
-        return 2.0 ** (-path / len(self.trees) / max(_expected(self.sample), 1e-9))
+        for t in range(self.n_trees):
+            path += self.length[t, self.leaves(x, t)]
+        return 2.0 ** (-path / self.n_trees / max(float(_expected(np.array(self.sample))), 1e-9))
 
 
-def _expected(n: int) -> float:
+def _expected(n: np.ndarray) -> np.ndarray:
     """Mean path length of an unsuccessful search in a tree of n points."""
-    return 0.0 if n <= 1 else 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else 1.0
+    n = np.asarray(n, float)
+    many = np.maximum(n, 3.0)
+    return np.where(n <= 1, 0.0, np.where(n > 2, 2.0 * (np.log(many - 1) + 0.5772156649) - 2.0 * (many - 1) / many, 1.0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, clean_loss: float = 0.002):
-    """(forest, threshold) from at most max_rows labelled rows, chosen by a hash of their id; None without good rows.
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, label is 1) of the rows that pass the base rule."""
+    for batch in batches:
+        s = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "doc_id"}
+        on = ~base_failed(s)
+        if on.any():
+            yield features(s)[on], s["_label"][on] == 1
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int | None = None, clean_loss: float = 0.002):
+    """(forest, threshold) from all labelled rows; None without good rows. max_rows: from at most so many, chosen by a hash of their id.
 
     Of different labels of an id the lowest counts.
     """
     chosen = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("_label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    # a labelled id may stand on any number of rows: the bound holds for those, too
-    found = rule_statistics(sample).orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(max_rows)
-    stats = found.join(F.broadcast(chosen), "doc_id").toPandas()
-    s = {c: stats[c].to_numpy() for c in stats.columns}
-    if not len(stats):
-        return None
-    good = (s["_label"] == 1) & ~base_failed(s)
-    bad = (s["_label"] != 1) & ~base_failed(s)
-    if not good.any():
+    if max_rows is not None:
+        chosen = F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    # statistics first: seven numbers a document meet the labels, not its text
+    found = rule_statistics(docs)
+    found = found.join(chosen, "doc_id")
+    if max_rows is not None:  # a labelled id may stand on any number of rows
+        found = found.orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(max_rows)
+    found = written(found.select(*STATS, "n_lines", "n_caps", "_label"), "labelled-statistics")
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, good in _parts(batches):
+            if good.any():
+                x = x[good]
+                yield pa.record_batch([pa.array([len(x)], pa.int64()), pa.array([x.min(0).tolist()]), pa.array([x.max(0).tolist()])], names=["n", "low", "high"])
+
+    each = lambda of, c: [of(F.col(c)[i]).alias(f"{c}{i}") for i in range(N_FEATURES)]
+    span = found.mapInArrow(ranges, "n long, low array<double>, high array<double>").agg(F.sum("n").alias("n"), *each(F.min, "low"), *each(F.max, "high")).first()
+    if not span["n"]:
         return None
-    x = features(s)
-    order = np.argsort(s["doc_id"], kind="stable")
-    forest = IsolationForest(x[order][good[order]])
-    score = forest.score(x)
-    top = np.quantile(score[good], 1 - clean_loss)
+    forest = IsolationForest().over(*(np.array([span[f"{c}{i}"] for i in range(N_FEATURES)]) for c in ("low", "high")), span["n"])
+
+    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for x, good in _parts(batches):
+            total = total + forest.masses(x[good])
+        if isinstance(total, np.ndarray):
+            tree, leaf = np.nonzero(total)
+            yield pa.record_batch([pa.array(tree, pa.int32()), pa.array(leaf, pa.int32()), pa.array(total[tree, leaf], pa.int64())], names=["tree", "leaf", "n"])
+
+    counted = found.mapInArrow(masses, "tree int, leaf int, n long").groupBy("tree", "leaf").agg(F.sum("n").alias("n")).toPandas()  # trees * leaves rows at most
+    total = np.zeros((forest.n_trees, 1 << forest.depth), np.int64)
+    total[counted["tree"], counted["leaf"]] = counted["n"]
+    forest.weigh(total)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, good in _parts(batches):
+            yield pa.record_batch([pa.array(np.round(forest.score(x), SCORE_DIGITS)), pa.array(good)], names=["score", "good"])
+
+    by_score = found.mapInArrow(scores, "score double, good boolean").groupBy("score").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
+    ).toPandas().sort_values("score")  # 10^SCORE_DIGITS + 1 rows at most
+    score, good, bad = (by_score[c].to_numpy() for c in ("score", "good", "bad"))
+    # the quantile as numpy's, between the two scores beside it
+    at_ = (good.sum() - 1) * (1 - clean_loss)
+    ends = np.cumsum(good)
+    lower, upper = (float(score[np.searchsorted(ends, i, side="right")]) for i in (int(np.floor(at_)), int(np.ceil(at_))))
+    top = lower + (upper - lower) * (at_ - np.floor(at_))
     # between the highest good scores allowed and the bad ones above them
-    above = score[bad & (score > top)]
+    above = score[(bad > 0) & (score > top)]
     return forest, float((top + above.min()) / 2 if len(above) else top)
 
 
@@ -197,7 +259,7 @@ def judge(docs: DataFrame, model) -> DataFrame:
         for batch in batches:
             s = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "doc_id"}
             failed = base_failed(s)
-            score = model[0].score(features(s)) if model else np.zeros(len(failed))
+            score = np.round(model[0].score(features(s)), SCORE_DIGITS) if model else np.zeros(len(failed))
             kept = ~failed & (score <= model[1] if model else True)
             yield pa.record_batch(
                 [batch.column("doc_id"), *(batch.column(c) for c in STATS), pa.array(failed), pa.array(kept), pa.array(score)],

@@ -483,6 +483,25 @@ def test_labelled_ids_on_many_rows_are_bounded(spark, monkeypatch):
     assert seen == [60]
 
 
+def test_op8_fit_counts_every_labelled_row(spark):
+    """More labelled rows than any sample bound: range, masses and threshold are those of all of them."""
+    n = 9000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat(repeat(concat('word', id % 13, ' '), 3 + id % 5), repeat(concat(id, 'x '), 1), 'a b c d e f g h i j k l m n o p q r s t', id) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 10 > 0) as quality")
+    forest, threshold = quality_rules.fit(docs, labels)
+    stats = quality_rules.rule_statistics(docs).join(labels, "doc_id").toPandas()
+    s = {c: stats[c].to_numpy() for c in stats.columns}
+    on = ~quality_rules.base_failed(s)
+    x, good = quality_rules.features(s)[on], s["quality"][on] == 1
+    whole = quality_rules.IsolationForest(x[good])
+    assert forest.n == good.sum() > 6000
+    np.testing.assert_allclose(forest.length, whole.length)
+    score = np.round(whole.score(x), quality_rules.SCORE_DIGITS)
+    top = np.quantile(score[good], 0.998)
+    above = score[~good & (score > top)]
+    assert threshold == pytest.approx((top + above.min()) / 2 if len(above) else top, abs=1e-9)
+
+
 def test_isolation_forest_ranks_outliers():
     x = rng.normal(0, 1, (800, 4))
     forest = quality_rules.IsolationForest(x)
