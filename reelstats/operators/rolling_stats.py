@@ -53,10 +53,10 @@ def fold_in(ratings: DataFrame, store: str, key: str = "movieId") -> list[int]:
     merged = new.unionByName(_stored_months(spark, f"{store}/ratings", months, types)) if _exists(spark, f"{store}/ratings") else new
     # the newest rating of each user, movie and month; partial maxima first
     best = merged.groupBy("userId", "movieId", *MONTH).agg(F.max(F.struct("timestamp", "rating")).alias("_best"))
-    path = scratch_path(spark, "merged-ratings")
-    best.select("userId", "movieId", F.col("_best.rating").alias("rating"), F.col("_best.timestamp").alias("timestamp"), *MONTH).write.parquet(path)
-    kept = spark.read.parquet(path)
+    kept = best.select("userId", "movieId", F.col("_best.rating").alias("rating"), F.col("_best.timestamp").alias("timestamp"), *MONTH)
+    # the months that are read are replaced only when all tasks have written theirs
     _overwrite_months(kept, f"{store}/ratings")
+    kept = _stored_months(spark, f"{store}/ratings", months, types)
     _overwrite_months(kept.groupBy(key, *MONTH).agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total")), f"{store}/partials")
     return months
 

@@ -106,3 +106,15 @@ def test_a_fold_reads_the_stored_ratings_of_its_months_only(spark):
     read = rolling_stats._stored_months(spark, f"{store}/ratings", [202003], f"{schema}, rating_year int, rating_month int")
     found, files, n = scanned(read)
     assert (len(found), files, n) == (1, 1, 1)
+
+
+def test_a_fold_writes_no_second_copy_of_the_merged_ratings(spark, monkeypatch):
+    made = []
+    real = rolling_stats.scratch_path
+    monkeypatch.setattr(rolling_stats, "scratch_path", lambda s, name: made.append(name) or real(s, name))
+    store = real(spark, "one-copy")
+    ratings = spark.createDataFrame([(1, 2, 3.0, datetime(2020, 1, 2)), (1, 2, 4.0, datetime(2020, 1, 3)), (5, 2, 1.0, datetime(2020, 2, 1))], "userId int, movieId int, rating double, timestamp timestamp_ntz")
+    for _ in range(2):
+        rolling_stats.fold_in(ratings, store)
+    assert made == ["new-ratings"] * 2
+    assert [tuple(r) for r in rolling_stats.current_stats(spark, store).collect()] == [(2, 2, 2.5)]
