@@ -187,3 +187,14 @@ def process_cache(name: str) -> dict:
 
     module = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
     return module.__dict__.setdefault(name, {})
+
+
+def forget() -> None:
+    """Empties the caches of this Python worker; who needs one fills it again."""
+    import sys
+
+    module = sys.modules.get("_llm_worker_cache")
+    for cache in vars(module).values() if module else ():
+        if isinstance(cache, dict):
+            cache.clear()
+    _release()

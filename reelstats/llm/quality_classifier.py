@@ -93,6 +93,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
     step = n_rows * DIMS // SEGMENTS
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at.forget()  # a worker that has packed token ids holds a tokenizer
         place, sign = _index_vectors()
         table = np.zeros(n_rows * DIMS)
         for batch in batches:
