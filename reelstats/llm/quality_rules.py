@@ -126,7 +126,8 @@ class IsolationForest:
     def over(self, low: np.ndarray, high: np.ndarray, n: int) -> IsolationForest:
         """The splits for n rows in this range."""
         self.n, self.sample = n, min(self.most, n)
-        self.depth = int(np.ceil(np.log2(max(self.sample, 2))))
+        # splits that meet no data are part of every path: two levels more than a tree grown on rows has
+        self.depth = int(np.ceil(np.log2(max(self.sample, 2)))) + 2
         # a margin around the data's range: values outside it can be split off at once
         margin = np.maximum((high - low) * 0.5, 1e-6)
         rng = np.random.RandomState(self.seed)
